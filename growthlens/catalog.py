@@ -7,12 +7,15 @@ returns, so only the feeds it needs are scanned.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from growthlens.operators import marts, staging
+from growthlens.operators import checks, marts, serving, staging, weekly
+from growthlens.session import shared_dir
+from growthlens.sources.io import overwrite_roundtrip
 from growthlens.sources.testdata_feeds import FEED_BUILDERS
 
 
@@ -72,6 +75,97 @@ class Warehouse:
     def mart_referral(self) -> DataFrame:
         return marts.referral(self.stg_ga4, self.stg_gsc, self.stg_posthog)
 
+    # weekly -----------------------------------------------------------------
+    @cached_property
+    def weekly_acquisition(self) -> DataFrame:
+        return weekly.weekly_acquisition(self.mart_acquisition)
+
+    @cached_property
+    def weekly_activation(self) -> DataFrame:
+        return weekly.weekly_activation(self.mart_activation)
+
+    @cached_property
+    def weekly_referral(self) -> DataFrame:
+        return weekly.weekly_referral(self.mart_referral)
+
+    @cached_property
+    def weekly_kpis(self) -> DataFrame:
+        return weekly.weekly_kpis(self.mart_acquisition, self.mart_activation, self.mart_referral)
+
+    @cached_property
+    def weekly_delta(self) -> DataFrame:
+        return weekly.weekly_delta(self.weekly_kpis)
+
+    @cached_property
+    def weekly_kpi_long(self) -> DataFrame:
+        return weekly.weekly_kpi_long(self.weekly_kpis)
+
+    # checks -----------------------------------------------------------------
+    def _marts(self) -> dict[str, DataFrame]:
+        return {
+            "mart_acquisition": self.mart_acquisition,
+            "mart_activation": self.mart_activation,
+            "mart_retention": self.mart_retention,
+            "mart_revenue": self.mart_revenue,
+            "mart_referral": self.mart_referral,
+        }
+
+    @cached_property
+    def dq_not_null(self) -> DataFrame:
+        return checks.run_checks(self._marts(), kinds=[checks.NOT_NULL])
+
+    @cached_property
+    def dq_accepted_values(self) -> DataFrame:
+        return checks.run_checks(self._marts(), kinds=[checks.ACCEPTED_VALUES])
+
+    @cached_property
+    def dq_expect_no_rows(self) -> DataFrame:
+        return checks.run_checks(self._marts(), kinds=[checks.EXPECT_NO_ROWS])
+
+    @cached_property
+    def data_checks(self) -> DataFrame:
+        return checks.run_checks(self._marts())
+
+    # serving ----------------------------------------------------------------
+    @cached_property
+    def exec_overview_daily(self) -> DataFrame:
+        return serving.exec_overview_daily(self.mart_acquisition)
+
+    @cached_property
+    def channel_cac(self) -> DataFrame:
+        return serving.channel_cac(self.mart_acquisition)
+
+    @cached_property
+    def retention_milestones(self) -> DataFrame:
+        return serving.retention_milestones(self.mart_retention)
+
+    @cached_property
+    def revenue_by_channel(self) -> DataFrame:
+        return serving.revenue_by_channel(self.mart_revenue)
+
+    @cached_property
+    def referral_trend(self) -> DataFrame:
+        return serving.referral_trend(self.mart_referral)
+
+    @cached_property
+    def funnel_daily(self) -> DataFrame:
+        return serving.funnel_daily(self.stg_posthog)
+
+    @cached_property
+    def email_campaign_summary(self) -> DataFrame:
+        return serving.email_campaign_summary(self.stg_brevo)
+
+    @cached_property
+    def serving_sorted(self) -> DataFrame:
+        return serving.ordered("mart_acquisition", self.mart_acquisition)
+
+    # sinks ------------------------------------------------------------------
+    @cached_property
+    def load_overwrite_roundtrip(self) -> DataFrame:
+        """The event feed loaded as a full-replace table and read back."""
+        path = f"{shared_dir(self.spark)}/growthlens/raw/posthog_raw-{uuid.uuid4().hex}"
+        return overwrite_roundtrip(self.raw("posthog_raw"), path)
+
 
 def _relation(attr: str) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,5 +189,24 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "mart_retention",
         "mart_revenue",
         "mart_referral",
+        "weekly_acquisition",
+        "weekly_activation",
+        "weekly_referral",
+        "weekly_kpis",
+        "weekly_delta",
+        "weekly_kpi_long",
+        "dq_not_null",
+        "dq_accepted_values",
+        "dq_expect_no_rows",
+        "data_checks",
+        "exec_overview_daily",
+        "channel_cac",
+        "retention_milestones",
+        "revenue_by_channel",
+        "referral_trend",
+        "funnel_daily",
+        "email_campaign_summary",
+        "serving_sorted",
+        "load_overwrite_roundtrip",
     )
 }

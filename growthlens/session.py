@@ -39,7 +39,7 @@ def build_session(
     if master:
         builder = builder.master(master)
         # Local runs are non-interactive: no web UI, driver holds all memory.
-        builder = builder.config("spark.ui.enabled", "false")
+        builder = builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
         builder = builder.config("spark.driver.memory", os.environ.get("GROWTHLENS_DRIVER_MEMORY", "16g"))
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
