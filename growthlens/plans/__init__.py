@@ -1,0 +1,3 @@
+from growthlens.plans.pipeline import build_warehouse
+
+__all__ = ["build_warehouse"]

@@ -1,6 +1,6 @@
 from growthlens.sources.io import conform, overwrite_roundtrip, read_feed, read_table, write_table
 from growthlens.sources.schemas import FEED_SCHEMAS
-from growthlens.sources.testdata_feeds import FEED_BUILDERS, testdata_feeds
+from growthlens.sources.testdata_feeds import FEED_BUILDERS, feeds_from_testdata
 
 __all__ = [
     "FEED_BUILDERS",
@@ -9,6 +9,6 @@ __all__ = [
     "overwrite_roundtrip",
     "read_feed",
     "read_table",
-    "testdata_feeds",
+    "feeds_from_testdata",
     "write_table",
 ]

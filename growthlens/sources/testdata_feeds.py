@@ -170,6 +170,6 @@ FEED_BUILDERS = {
 }
 
 
-def testdata_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def feeds_from_testdata(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """All six raw feeds as lazy DataFrames over the testdata tables."""
     return {name: build(spark, sf_dir) for name, build in FEED_BUILDERS.items()}

@@ -1,0 +1,3 @@
+from growthlens.streaming.events import clean_event_stream, funnel_counts_stream, start_funnel_counts
+
+__all__ = ["clean_event_stream", "funnel_counts_stream", "start_funnel_counts"]
