@@ -8,7 +8,7 @@ returns, so only the feeds it needs are scanned.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +16,26 @@ from pyspark.sql import DataFrame, SparkSession
 from growthlens.operators import checks, marts, serving, staging, weekly
 from growthlens.session import shared_dir
 from growthlens.sources.io import overwrite_roundtrip
-from growthlens.sources.testdata_feeds import FEED_BUILDERS
+from growthlens.sources.testdata_feeds import FEED_SQL, derive_feed, read_testdata
+
+
+MART_NAMES = ("mart_acquisition", "mart_activation", "mart_retention", "mart_revenue", "mart_referral")
+
+
+class _LazyRelations(Mapping):
+    def __init__(self, warehouse: "Warehouse", names: tuple[str, ...]):
+        self._wh, self._names = warehouse, names
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._names:
+            raise KeyError(name)
+        return getattr(self._wh, name)
+
+    def __iter__(self):
+        return iter(self._names)
+
+    def __len__(self) -> int:
+        return len(self._names)
 
 
 class Warehouse:
@@ -25,9 +44,14 @@ class Warehouse:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._tables: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        return FEED_BUILDERS[name](self.spark, self.sf_dir)
+        """Raw feed ``name``; each testdata table is read once per warehouse."""
+        table = FEED_SQL[name][0]
+        if table not in self._tables:
+            self._tables[table] = read_testdata(self.spark, self.sf_dir, table)
+        return derive_feed(name, self._tables[table])
 
     # staging ------------------------------------------------------------
     @cached_property
@@ -94,21 +118,16 @@ class Warehouse:
 
     @cached_property
     def weekly_delta(self) -> DataFrame:
-        return weekly.weekly_delta(self.weekly_kpis)
+        return weekly.weekly_delta(self.mart_acquisition, self.mart_activation, self.mart_referral)
 
     @cached_property
     def weekly_kpi_long(self) -> DataFrame:
-        return weekly.weekly_kpi_long(self.weekly_kpis)
+        return weekly.weekly_kpi_long(self.mart_acquisition, self.mart_activation, self.mart_referral)
 
     # checks -----------------------------------------------------------------
-    def _marts(self) -> dict[str, DataFrame]:
-        return {
-            "mart_acquisition": self.mart_acquisition,
-            "mart_activation": self.mart_activation,
-            "mart_retention": self.mart_retention,
-            "mart_revenue": self.mart_revenue,
-            "mart_referral": self.mart_referral,
-        }
+    def _marts(self) -> Mapping[str, DataFrame]:
+        """The five marts, built only when a check asks for one."""
+        return _LazyRelations(self, MART_NAMES)
 
     @cached_property
     def dq_not_null(self) -> DataFrame:

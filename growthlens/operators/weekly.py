@@ -9,8 +9,8 @@ a single shuffle of week-grain partials.  The single-week form (``as_of``,
 Rules kept on purpose: weekly averages are unweighted means of daily ratios
 (NULLs skipped); SQL-style rounding (half away from zero) of each KPI; a KPI
 with no rows is 0; changes are computed from the already rounded values and
-rounded half-even; the previous week is found by ``week_start - 7 days`` (so a
-missing week counts as zeros, it never reaches further back).
+rounded half-even; the previous week is the calendar week before (so a missing
+week counts as zeros, it never reaches further back).
 """
 
 from __future__ import annotations
@@ -32,35 +32,21 @@ LOWER_IS_BETTER = "lower"
 HIGHER_IS_BETTER = "higher"
 NEUTRAL = "neutral"
 
-_ROUND2 = 2
-
-
-def _avg(c: str, scale: float = 1.0, digits: int = _ROUND2):
-    def build() -> Column:
-        expr = F.avg(c) if scale == 1.0 else F.avg(c) * F.lit(scale)
-        return F.round(expr, digits)
-
-    return build
-
-
-def _sum(c: str):
-    return lambda: F.sum(c)
-
-
-# KPI -> (family, aggregate builder over the tagged union, output type).
-# Builders are called lazily: Column objects need an active session.
-KPI_SPECS = {
-    "avg_cac": (ACQUISITION_FAMILY, _avg("cac"), "double"),
-    "avg_roas": (ACQUISITION_FAMILY, _avg("roas"), "double"),
-    "total_spend": (ACQUISITION_FAMILY, lambda: F.round(F.sum("spend").cast("double"), 2), "double"),
-    "total_conversions": (ACQUISITION_FAMILY, _sum("conversions"), "bigint"),
-    "avg_ctr_pct": (ACQUISITION_FAMILY, _avg("ctr", 100.0), "double"),
-    "activation_rate_pct": (ACTIVATION_FAMILY, _avg("activation_rate", 100.0), "double"),
-    "churn_rate_pct": (ACTIVATION_FAMILY, _avg("churn_rate", 100.0), "double"),
-    "total_signups": (ACTIVATION_FAMILY, _sum("total_signups"), "bigint"),
-    "organic_share_pct": (ORGANIC_FAMILY, _avg("organic_traffic_share", 100.0), "double"),
-    "k_factor": (ORGANIC_FAMILY, _avg("k_factor_estimate", 1.0, 4), "double"),
-    "organic_sessions": (ORGANIC_FAMILY, _sum("organic_sessions"), "bigint"),
+# KPI -> (family, source column in the tagged union, aggregate kind, scale,
+# decimals, output type).  "avg" = SQL-rounded mean of daily values, "sum" =
+# integer total, "money" = exact decimal total rounded to cents.
+KPI_SPECS: dict[str, tuple[str, str, str, float, int, str]] = {
+    "avg_cac": (ACQUISITION_FAMILY, "cac", "avg", 1.0, 2, "double"),
+    "avg_roas": (ACQUISITION_FAMILY, "roas", "avg", 1.0, 2, "double"),
+    "total_spend": (ACQUISITION_FAMILY, "spend", "money", 1.0, 2, "double"),
+    "total_conversions": (ACQUISITION_FAMILY, "conversions", "sum", 1.0, 0, "bigint"),
+    "avg_ctr_pct": (ACQUISITION_FAMILY, "ctr", "avg", 100.0, 2, "double"),
+    "activation_rate_pct": (ACTIVATION_FAMILY, "activation_rate", "avg", 100.0, 2, "double"),
+    "churn_rate_pct": (ACTIVATION_FAMILY, "churn_rate", "avg", 100.0, 2, "double"),
+    "total_signups": (ACTIVATION_FAMILY, "total_signups", "sum", 1.0, 0, "bigint"),
+    "organic_share_pct": (ORGANIC_FAMILY, "organic_traffic_share", "avg", 100.0, 2, "double"),
+    "k_factor": (ORGANIC_FAMILY, "k_factor_estimate", "avg", 1.0, 4, "double"),
+    "organic_sessions": (ORGANIC_FAMILY, "organic_sessions", "sum", 1.0, 0, "bigint"),
 }
 KPIS = list(KPI_SPECS)
 
@@ -82,9 +68,26 @@ _REF_COLS = {
     "k_factor_estimate": "k_factor_estimate",
     "organic_sessions": "organic_sessions",
 }
-
-
-def _arm(mart: DataFrame, cols: dict[str, str], start: dt.date | None, end: dt.date | None) -> DataFrame:
+_ACQ_KPIS = ["avg_cac", "avg_roas", "total_spend", "total_conversions", "avg_ctr_pct"]
+_ACT_KPIS = ["activation_rate_pct", "churn_rate_pct", "total_signups"]
+_REF_KPIS = ["organic_share_pct", "k_factor", "organic_sessions"]
+
+
+def _kpi_agg(kpi: str, only: Column | None = None) -> Column:
+    """Aggregate of ``kpi`` over the union rows (those where ``only`` holds, if given)."""
+    _, source, kind, scale, digits, dtype = KPI_SPECS[kpi]
+    value = col(source) if only is None else F.when(only, col(source))
+    if kind == "avg":
+        mean = F.avg(value)
+        agg = F.round(mean if scale == 1.0 else mean * F.lit(scale), digits)
+    elif kind == "money":
+        agg = F.round(F.sum(value).cast("double"), digits)
+    else:
+        agg = F.sum(value)
+    return agg.cast(dtype)
+
+
+def _arm(mart: DataFrame, cols: dict[str, str], start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
     if start is not None:
         mart = mart.where(col("date").between(F.lit(start), F.lit(end)))
     exprs = [week_start("date").alias("week_start")]
@@ -95,6 +98,7 @@ def _arm(mart: DataFrame, cols: dict[str, str], start: dt.date | None, end: dt.d
 
 
 def _kpi_union(acq: DataFrame, act: DataFrame, ref: DataFrame, start=None, end=None) -> DataFrame:
+    """The three marts' KPI inputs as one week-tagged relation (missing columns NULL)."""
     return (
         _arm(acq, _ACQ_COLS, start, end)
         .unionByName(_arm(act, _ACT_COLS, start, end), allowMissingColumns=True)
@@ -102,35 +106,27 @@ def _kpi_union(acq: DataFrame, act: DataFrame, ref: DataFrame, start=None, end=N
     )
 
 
-def _kpi_agg(kpi: str) -> Column:
-    _, build, dtype = KPI_SPECS[kpi]
-    return build().cast(dtype).alias(kpi)
-
-
-def _rollup(arm: DataFrame, kpis: list[str], extra: list[Column] | None = None) -> DataFrame:
-    aggs = [_kpi_agg(k) for k in kpis]
-    return arm.groupBy("week_start").agg(*aggs, *(extra or []))
+def _rollup(arm: DataFrame, kpis: list[str]) -> DataFrame:
+    return arm.groupBy("week_start").agg(*[_kpi_agg(k).alias(k) for k in kpis])
 
 
 def weekly_acquisition(mart_acquisition: DataFrame) -> DataFrame:
     """Per week: avg CAC, avg ROAS, spend, conversions, avg CTR %."""
-    names = ["avg_cac", "avg_roas", "total_spend", "total_conversions", "avg_ctr_pct"]
-    return _rollup(_arm(mart_acquisition, _ACQ_COLS, None, None), names)
+    return _rollup(_arm(mart_acquisition, _ACQ_COLS), _ACQ_KPIS)
 
 
 def weekly_activation(mart_activation: DataFrame) -> DataFrame:
     """Per week: avg activation rate %, avg churn rate %, signups."""
-    return _rollup(_arm(mart_activation, _ACT_COLS, None, None), ["activation_rate_pct", "churn_rate_pct", "total_signups"])
+    return _rollup(_arm(mart_activation, _ACT_COLS), _ACT_KPIS)
 
 
 def weekly_referral(mart_referral: DataFrame) -> DataFrame:
     """Per week: avg organic share %, avg k-factor (4 decimals), organic sessions."""
-    return _rollup(_arm(mart_referral, _REF_COLS, None, None), ["organic_share_pct", "k_factor", "organic_sessions"])
+    return _rollup(_arm(mart_referral, _REF_COLS), _REF_KPIS)
 
 
-def _finish(agg: DataFrame) -> DataFrame:
-    kpis = [F.coalesce(col(k), F.lit(0).cast(KPI_SPECS[k][2])).alias(k) for k in KPIS]
-    return agg.select("week_start", F.date_add("week_start", 6).alias("week_end"), *kpis)
+def _zero(kpi: str, c: Column) -> Column:
+    return F.coalesce(c, F.lit(0).cast(KPI_SPECS[kpi][5]))
 
 
 def week_bounds(as_of: dt.date, week_offset: int = 0) -> tuple[dt.date, dt.date]:
@@ -153,35 +149,59 @@ def weekly_kpis(
     week holding ``as_of`` (all zeros when no mart has rows in it).
     """
     if as_of is None:
-        union = _kpi_union(mart_acquisition, mart_activation, mart_referral)
-        return _finish(_rollup(union, KPIS))
-    start, end = week_bounds(as_of, week_offset)
-    union = _kpi_union(mart_acquisition, mart_activation, mart_referral, start, end)
-    aggs = [_kpi_agg(k) for k in KPIS]
-    return _finish(union.agg(*aggs).select(F.lit(start).alias("week_start"), *KPIS))
+        agg = _rollup(_kpi_union(mart_acquisition, mart_activation, mart_referral), KPIS)
+    else:
+        start, end = week_bounds(as_of, week_offset)
+        union = _kpi_union(mart_acquisition, mart_activation, mart_referral, start, end)
+        agg = union.agg(*[_kpi_agg(k).alias(k) for k in KPIS]).select(F.lit(start).alias("week_start"), *KPIS)
+    return agg.select(
+        "week_start", F.date_add("week_start", 6).alias("week_end"), *[_zero(k, col(k)).alias(k) for k in KPIS]
+    )
 
 
-def weekly_comparison(kpis: DataFrame) -> DataFrame:
-    """KPIs next to the previous calendar week's values and the 7 changes.
+def weekly_comparison(
+    mart_acquisition: DataFrame,
+    mart_activation: DataFrame,
+    mart_referral: DataFrame,
+    as_of: dt.date | None = None,
+) -> DataFrame:
+    """Each week's KPIs, the previous calendar week's KPIs and the 7 changes.
 
-    Joins on ``week_start - 7 days``; the week-grain right side is tiny and AQE
-    broadcasts it after measuring it.
+    No join: every union row is emitted twice (a narrow ``explode``), once for
+    its own week and once tagged "previous" for the following week, so one
+    aggregation by ``week_start`` yields both sides.  Weeks are those with
+    rows of their own (or just the ``as_of`` week).
     """
-    prev = kpis.select(
-        F.date_add("week_start", 7).alias("week_start"),
-        *[col(k).alias(f"prev_{k}") for k in KPIS],
-    )
-    joined = kpis.join(prev, "week_start", "left")
-    changes = [
-        pct_change(col(kpi), F.coalesce(col(f"prev_{kpi}"), F.lit(0))).alias(name)
-        for name, (kpi, _) in CHANGE_SPECS.items()
-    ]
-    return joined.select("week_start", "week_end", *KPIS, *changes)
+    union = _kpi_union(mart_acquisition, mart_activation, mart_referral)
+    if as_of is not None:
+        start, end = week_bounds(as_of)
+        union = union.where(col("week_start").between(F.lit(start - dt.timedelta(days=7)), F.lit(start)))
+    shift = F.explode(F.array(F.lit(0), F.lit(7))).alias("shift")
+    both = union.select("*", shift).withColumn("week_start", F.date_add("week_start", col("shift")))
+    current = col("shift") == 0
+    aggs = [F.count_if(current).alias("own_rows")]
+    aggs += [_kpi_agg(k, current).alias(k) for k in KPIS]
+    aggs += [_kpi_agg(k, ~current).alias(f"prev_{k}") for k in KPIS]
+    if as_of is None:
+        agg = both.groupBy("week_start").agg(*aggs).where(col("own_rows") > 0)
+    else:
+        agg = both.where(col("week_start") == F.lit(start)).agg(*aggs).select(F.lit(start).alias("week_start"), "*")
+    kpis = [_zero(k, col(k)).alias(k) for k in KPIS]
+    prev = [_zero(k, col(f"prev_{k}")).alias(f"prev_{k}") for k in KPIS]
+    wide = agg.select("week_start", F.date_add("week_start", 6).alias("week_end"), *kpis, *prev)
+    changes = [pct_change(col(kpi), col(f"prev_{kpi}")).alias(name) for name, (kpi, _) in CHANGE_SPECS.items()]
+    return wide.select("week_start", "week_end", *KPIS, *changes)
 
 
-def weekly_delta(kpis: DataFrame) -> DataFrame:
+def weekly_delta(
+    mart_acquisition: DataFrame,
+    mart_activation: DataFrame,
+    mart_referral: DataFrame,
+    as_of: dt.date | None = None,
+) -> DataFrame:
     """Week-over-week change (%) of 7 KPIs; 0 where the previous value is 0."""
-    return weekly_comparison(kpis).select("week_start", "week_end", *CHANGE_SPECS)
+    wide = weekly_comparison(mart_acquisition, mart_activation, mart_referral, as_of)
+    return wide.select("week_start", "week_end", *CHANGE_SPECS)
 
 
 def _direction(change: Column, polarity: str) -> Column:
@@ -192,13 +212,18 @@ def _direction(change: Column, polarity: str) -> Column:
     return F.when(good, F.lit("good")).when(bad, F.lit("bad")).otherwise(F.lit("flat"))
 
 
-def weekly_kpi_long(kpis: DataFrame) -> DataFrame:
+def weekly_kpi_long(
+    mart_acquisition: DataFrame,
+    mart_activation: DataFrame,
+    mart_referral: DataFrame,
+    as_of: dt.date | None = None,
+) -> DataFrame:
     """The brief's input as data: one row per (week, KPI) with change and direction.
 
     ``direction`` is good/bad/flat for KPIs with a preferred direction, up/down/flat
     for spend and conversions, NULL for KPIs without a change.
     """
-    wide = weekly_comparison(kpis)
+    wide = weekly_comparison(mart_acquisition, mart_activation, mart_referral, as_of)
     by_kpi = {kpi: (name, polarity) for name, (kpi, polarity) in CHANGE_SPECS.items()}
     entries = []
     for kpi in KPIS:

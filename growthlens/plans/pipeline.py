@@ -62,9 +62,9 @@ def build_warehouse(
     rev = store("mart_revenue", marts.unit_economics(acq, events, **mart_params), "marts")
     ref = store("mart_referral", marts.referral(stg["stg_ga4"], stg["stg_gsc"], events), "marts")
 
-    kpis = store("weekly_kpis", weekly.weekly_kpis(acq, act, ref), "weekly")
-    store("weekly_delta", weekly.weekly_delta(kpis), "weekly")
-    store("weekly_kpi_long", weekly.weekly_kpi_long(kpis), "weekly")
+    store("weekly_kpis", weekly.weekly_kpis(acq, act, ref), "weekly")
+    store("weekly_delta", weekly.weekly_delta(acq, act, ref), "weekly")
+    store("weekly_kpi_long", weekly.weekly_kpi_long(acq, act, ref), "weekly")
 
     stored_marts = {
         "mart_acquisition": acq,

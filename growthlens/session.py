@@ -22,6 +22,12 @@ _SQL_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
+# Static settings (only at session creation).  Skipping the capture of the
+# Python call site on every Column function call saves several driver round
+# trips per expression while plans are built.
+_STATIC_CONF = {
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
 
 
 def build_session(
@@ -43,7 +49,7 @@ def build_session(
         builder = builder.config("spark.driver.memory", os.environ.get("GROWTHLENS_DRIVER_MEMORY", "16g"))
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    for key, value in {**_SQL_CONF, **(extra_conf or {})}.items():
+    for key, value in {**_STATIC_CONF, **_SQL_CONF, **(extra_conf or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     for key, value in _SQL_CONF.items():

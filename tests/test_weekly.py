@@ -52,8 +52,7 @@ def test_delta_against_previous_calendar_week(spark):
         [],
         [(J(1), 10, 0.5, 0.1), (J(15), 5, 0.5, 0.1)],
     )
-    kpis = weekly.weekly_kpis(acq, act, ref)
-    got = {r["week_start"]: r for r in weekly.weekly_delta(kpis).collect()}
+    got = {r["week_start"]: r for r in weekly.weekly_delta(acq, act, ref).collect()}
     assert got[J(1)]["cac_change"] == 0.0  # no previous week -> 0
     assert got[J(8)]["cac_change"] == 10.0
     assert got[J(8)]["conversions_change"] == -10.0
@@ -80,7 +79,7 @@ def test_kpi_long_directions(spark):
         [],
         [],
     )
-    long = weekly.weekly_kpi_long(weekly.weekly_kpis(acq, act, ref))
+    long = weekly.weekly_kpi_long(acq, act, ref)
     got = {(r["week_start"], r["metric"]): r for r in long.collect()}
     assert len(got) == 2 * 11
     assert got[(J(8), "avg_cac")]["direction"] == "bad"  # CAC up
@@ -91,3 +90,16 @@ def test_kpi_long_directions(spark):
     assert got[(J(8), "avg_ctr_pct")]["direction"] is None
     assert got[(J(1), "avg_cac")]["direction"] == "flat"
     assert got[(J(8), "organic_sessions")]["family"] == "organic/referral"
+
+
+def test_single_week_delta_matches_all_weeks_form(spark):
+    acq, act, ref = marts(
+        spark,
+        [(J(1), "meta", 10.0, 10, 10.0, 1.0, 0.0), (J(8), "meta", 11.0, 9, 11.0, 1.0, 0.0)],
+        [(J(2), "a", 3, 0.5, 0.1), (J(9), "a", 4, 0.25, 0.2)],
+        [(J(1), 10, 0.5, 0.1)],
+    )
+    every = {r["week_start"]: r.asDict() for r in weekly.weekly_delta(acq, act, ref).collect()}
+    one = weekly.weekly_delta(acq, act, ref, as_of=J(12)).collect()
+    assert len(one) == 1 and one[0].asDict() == every[J(8)]
+    assert one[0]["activation_change"] == -50.0
