@@ -27,15 +27,19 @@ def write_table(
     path: str,
     partition_by: Sequence[str] | None = None,
     fmt: str = "parquet",
+    replace_partitions_only: bool = False,
 ) -> None:
-    """Full-replace load: the target is truncated and rewritten by one job.
+    """Full-replace load: the whole target is truncated and rewritten by one job.
 
-    With ``partition_by`` the write uses dynamic partition overwrite, so a
-    rebuild replaces exactly the partitions present in ``df``.
+    ``replace_partitions_only`` switches a partitioned write to dynamic
+    partition overwrite (an incremental load that replaces only the partitions
+    present in ``df`` and keeps the others).
     """
     writer = df.write.mode("overwrite").format(fmt)
     if partition_by:
-        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
+        writer = writer.partitionBy(*partition_by)
+        mode = "dynamic" if replace_partitions_only else "static"
+        writer = writer.option("partitionOverwriteMode", mode)
     writer.save(path)
 
 

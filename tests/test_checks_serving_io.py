@@ -58,8 +58,17 @@ def test_overwrite_replaces_rows(spark, tmp_path):
     assert rows(read_table(spark, path)) == [(3, "c")]
 
 
-def test_partitioned_overwrite_is_dynamic(spark, tmp_path):
+def test_partitioned_overwrite_replaces_everything_by_default(spark, tmp_path):
     path = str(tmp_path / "p")
     write_table(spark.createDataFrame([(1, "a"), (2, "b")], "k int, d string"), path, partition_by=["d"])
     write_table(spark.createDataFrame([(3, "b")], "k int, d string"), path, partition_by=["d"])
+    assert sorted(rows(read_table(spark, path), "k", "d")) == [(3, "b")]
+
+
+def test_partition_replacing_load_keeps_other_partitions(spark, tmp_path):
+    path = str(tmp_path / "p")
+    write_table(spark.createDataFrame([(1, "a"), (2, "b")], "k int, d string"), path, partition_by=["d"])
+    write_table(
+        spark.createDataFrame([(3, "b")], "k int, d string"), path, partition_by=["d"], replace_partitions_only=True
+    )
     assert sorted(rows(read_table(spark, path), "k", "d")) == [(1, "a"), (3, "b")]
