@@ -1,49 +1,31 @@
 """Registered queries: ``name -> (spark, sf_dir) -> DataFrame``.
 
-A ``Warehouse`` wires feeds -> staging -> marts -> weekly/serving/checks
-lazily for one testdata folder; each query asks for the one relation it
-returns, so only the feeds it needs are scanned.
+``Warehouse`` is the lazy relation graph (``plans.Relations``) over the raw
+feeds derived from one testdata folder; each query asks for the one relation it
+returns, so only the tables it needs are scanned.
 """
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Callable, Mapping
+import hashlib
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from growthlens.operators import checks, marts, serving, staging, weekly
+from growthlens.plans.relations import ALL_NAMES, Relations
 from growthlens.session import shared_dir
 from growthlens.sources.io import overwrite_roundtrip
 from growthlens.sources.testdata_feeds import FEED_SQL, derive_feed, read_testdata
 
 
-MART_NAMES = ("mart_acquisition", "mart_activation", "mart_retention", "mart_revenue", "mart_referral")
+class Warehouse(Relations):
+    """Lazy relations over the feeds derived from one folder of testdata tables."""
 
-
-class _LazyRelations(Mapping):
-    def __init__(self, warehouse: "Warehouse", names: tuple[str, ...]):
-        self._wh, self._names = warehouse, names
-
-    def __getitem__(self, name: str) -> DataFrame:
-        if name not in self._names:
-            raise KeyError(name)
-        return getattr(self._wh, name)
-
-    def __iter__(self):
-        return iter(self._names)
-
-    def __len__(self) -> int:
-        return len(self._names)
-
-
-class Warehouse:
-    """Lazy relations over one folder of testdata tables."""
-
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, **mart_params):
+        super().__init__(None, **mart_params)
         self.spark = spark
-        self.sf_dir = sf_dir
+        self.sf_dir = sf_dir.rstrip("/")
         self._tables: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
@@ -53,136 +35,15 @@ class Warehouse:
             self._tables[table] = read_testdata(self.spark, self.sf_dir, table)
         return derive_feed(name, self._tables[table])
 
-    # staging ------------------------------------------------------------
-    @cached_property
-    def stg_meta_ads(self) -> DataFrame:
-        return staging.clean_meta_ads(self.raw("meta_ads_raw"))
-
-    @cached_property
-    def stg_google_ads(self) -> DataFrame:
-        return staging.clean_google_ads(self.raw("google_ads_raw"))
-
-    @cached_property
-    def stg_ga4(self) -> DataFrame:
-        return staging.clean_ga4(self.raw("ga4_raw"))
-
-    @cached_property
-    def stg_gsc(self) -> DataFrame:
-        return staging.clean_gsc(self.raw("gsc_raw"))
-
-    @cached_property
-    def stg_brevo(self) -> DataFrame:
-        return staging.clean_brevo(self.raw("brevo_raw"))
-
-    @cached_property
-    def stg_posthog(self) -> DataFrame:
-        return staging.clean_posthog(self.raw("posthog_raw"))
-
-    # marts ----------------------------------------------------------------
-    @cached_property
-    def mart_acquisition(self) -> DataFrame:
-        return marts.acquisition(self.stg_meta_ads, self.stg_google_ads)
-
-    @cached_property
-    def mart_activation(self) -> DataFrame:
-        return marts.activation(self.stg_posthog)
-
-    @cached_property
-    def mart_retention(self) -> DataFrame:
-        return marts.retention(self.stg_posthog)
-
-    @cached_property
-    def mart_revenue(self) -> DataFrame:
-        return marts.unit_economics(self.mart_acquisition, self.stg_posthog)
-
-    @cached_property
-    def mart_referral(self) -> DataFrame:
-        return marts.referral(self.stg_ga4, self.stg_gsc, self.stg_posthog)
-
-    # weekly -----------------------------------------------------------------
-    @cached_property
-    def weekly_acquisition(self) -> DataFrame:
-        return weekly.weekly_acquisition(self.mart_acquisition)
-
-    @cached_property
-    def weekly_activation(self) -> DataFrame:
-        return weekly.weekly_activation(self.mart_activation)
-
-    @cached_property
-    def weekly_referral(self) -> DataFrame:
-        return weekly.weekly_referral(self.mart_referral)
-
-    @cached_property
-    def weekly_kpis(self) -> DataFrame:
-        return weekly.weekly_kpis(self.mart_acquisition, self.mart_activation, self.mart_referral)
-
-    @cached_property
-    def weekly_delta(self) -> DataFrame:
-        return weekly.weekly_delta(self.mart_acquisition, self.mart_activation, self.mart_referral)
-
-    @cached_property
-    def weekly_kpi_long(self) -> DataFrame:
-        return weekly.weekly_kpi_long(self.mart_acquisition, self.mart_activation, self.mart_referral)
-
-    # checks -----------------------------------------------------------------
-    def _marts(self) -> Mapping[str, DataFrame]:
-        """The five marts, built only when a check asks for one."""
-        return _LazyRelations(self, MART_NAMES)
-
-    @cached_property
-    def dq_not_null(self) -> DataFrame:
-        return checks.run_checks(self._marts(), kinds=[checks.NOT_NULL])
-
-    @cached_property
-    def dq_accepted_values(self) -> DataFrame:
-        return checks.run_checks(self._marts(), kinds=[checks.ACCEPTED_VALUES])
-
-    @cached_property
-    def dq_expect_no_rows(self) -> DataFrame:
-        return checks.run_checks(self._marts(), kinds=[checks.EXPECT_NO_ROWS])
-
-    @cached_property
-    def data_checks(self) -> DataFrame:
-        return checks.run_checks(self._marts())
-
-    # serving ----------------------------------------------------------------
-    @cached_property
-    def exec_overview_daily(self) -> DataFrame:
-        return serving.exec_overview_daily(self.mart_acquisition)
-
-    @cached_property
-    def channel_cac(self) -> DataFrame:
-        return serving.channel_cac(self.mart_acquisition)
-
-    @cached_property
-    def retention_milestones(self) -> DataFrame:
-        return serving.retention_milestones(self.mart_retention)
-
-    @cached_property
-    def revenue_by_channel(self) -> DataFrame:
-        return serving.revenue_by_channel(self.mart_revenue)
-
-    @cached_property
-    def referral_trend(self) -> DataFrame:
-        return serving.referral_trend(self.mart_referral)
-
-    @cached_property
-    def funnel_daily(self) -> DataFrame:
-        return serving.funnel_daily(self.stg_posthog)
-
-    @cached_property
-    def email_campaign_summary(self) -> DataFrame:
-        return serving.email_campaign_summary(self.stg_brevo)
-
-    @cached_property
-    def serving_sorted(self) -> DataFrame:
-        return serving.ordered("mart_acquisition", self.mart_acquisition)
-
-    # sinks ------------------------------------------------------------------
     @cached_property
     def load_overwrite_roundtrip(self) -> DataFrame:
-        """The event feed loaded as a full-replace table and read back."""
-        path = f"{shared_dir(self.spark)}/growthlens/raw/posthog_raw-{uuid.uuid4().hex}"
+        """The event feed loaded as a full-replace table and read back.
+
+        The table lives under the shared folder at a path fixed per testdata
+        folder, so every run replaces the previous load.
+        """
+        key = hashlib.sha1(self.sf_dir.encode()).hexdigest()[:12]
+        path = f"{shared_dir(self.spark)}/growthlens/raw/posthog_raw-{key}"
         return overwrite_roundtrip(self.raw("posthog_raw"), path)
 
 
@@ -195,37 +56,5 @@ def _relation(attr: str) -> Callable[[SparkSession, str], DataFrame]:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    name: _relation(name)
-    for name in (
-        "stg_meta_ads",
-        "stg_google_ads",
-        "stg_ga4",
-        "stg_gsc",
-        "stg_brevo",
-        "stg_posthog",
-        "mart_acquisition",
-        "mart_activation",
-        "mart_retention",
-        "mart_revenue",
-        "mart_referral",
-        "weekly_acquisition",
-        "weekly_activation",
-        "weekly_referral",
-        "weekly_kpis",
-        "weekly_delta",
-        "weekly_kpi_long",
-        "dq_not_null",
-        "dq_accepted_values",
-        "dq_expect_no_rows",
-        "data_checks",
-        "exec_overview_daily",
-        "channel_cac",
-        "retention_milestones",
-        "revenue_by_channel",
-        "referral_trend",
-        "funnel_daily",
-        "email_campaign_summary",
-        "serving_sorted",
-        "load_overwrite_roundtrip",
-    )
+    name: _relation(name) for name in ALL_NAMES + ("load_overwrite_roundtrip",)
 }

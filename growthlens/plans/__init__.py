@@ -1,3 +1,4 @@
 from growthlens.plans.pipeline import build_warehouse
+from growthlens.plans.relations import Relations
 
-__all__ = ["build_warehouse"]
+__all__ = ["Relations", "build_warehouse"]

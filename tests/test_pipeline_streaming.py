@@ -47,3 +47,20 @@ def test_streaming_funnel_counts_match_batch(spark, tmp_path):
     )
     want = sorted(rows(batch, "date", "channel", "total_signups", "total_activations", "total_purchases", "total_churns"))
     assert got == want
+
+
+def test_relations_over_any_feeds_and_sql_views(spark):
+    from growthlens.plans import Relations
+
+    rel = Relations(feeds_from_testdata(spark, SF_SMALL))
+    names = rel.register_views()
+    assert "stg_posthog" in names and "mart_retention" in names
+    via_sql = spark.sql(
+        "select channel, count(*) as days, sum(total_conversions) as conversions "
+        "from mart_acquisition group by channel"
+    )
+    via_df = rel.mart_acquisition.groupBy("channel").agg(
+        F.count(F.lit(1)).alias("days"), F.sum("total_conversions").alias("conversions")
+    )
+    assert _same(via_sql, via_df)
+    assert _same(rel.mart_retention, Warehouse(spark, SF_SMALL).mart_retention)
