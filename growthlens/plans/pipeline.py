@@ -2,12 +2,16 @@
 
 Physical choices:
 
-* The cleaned event feed is read by four marts, so it is written once as a
-  table partitioned by ``event_date`` and every mart reads that table.  The
-  write cuts the lineage (an executor lost later recomputes from the stored
-  files, not from the raw feed) and date filters prune partitions.  No shuffle
-  is added before the write: a repartition by date would put a hot day in one
-  task; each task instead writes the days it holds (the writer sorts locally).
+* The cleaned event feed is read by four marts, so it is written once and
+  every mart reads that table.  The write cuts the lineage (an executor lost
+  later recomputes from the stored files, not from the raw feed).  By default
+  it is written as it comes (no shuffle, one file per input split): a full
+  rebuild reads every event anyway.  ``partition_events_by_date=True`` stores
+  it partitioned by ``event_date`` for date-pruned readers; the rows are first
+  range-partitioned on (event_date, user_id, event_id) so each task writes one
+  or two days (without it every task would write a file for every day it
+  holds), and a hot day or hot user is still split across many tasks.  The
+  range keys are data columns, so a retried task gets the same rows.
 * The other five staging relations are read by one mart each, so they stay
   lazy views (their filters and projections fuse into the mart's scan).
 * Marts are written as full-replace tables; the revenue mart reads the stored
@@ -37,6 +41,7 @@ def build_warehouse(
     spark: SparkSession,
     feeds: Mapping[str, DataFrame],
     root: str | None = None,
+    partition_events_by_date: bool = False,
     **mart_params,
 ) -> dict[str, str]:
     """Build and store every relation; returns ``name -> path``.
@@ -54,7 +59,11 @@ def build_warehouse(
         return _store(spark, df, paths[name], partition_by)
 
     stg = staging.clean_all(dict(feeds))
-    events = store("stg_posthog", stg["stg_posthog"], "staging", partition_by=["event_date"])
+    if partition_events_by_date:
+        clustered = stg["stg_posthog"].repartitionByRange("event_date", "user_id", "event_id")
+        events = store("stg_posthog", clustered, "staging", partition_by=["event_date"])
+    else:
+        events = store("stg_posthog", stg["stg_posthog"], "staging")
 
     acq = store("mart_acquisition", marts.acquisition(stg["stg_meta_ads"], stg["stg_google_ads"]), "marts")
     act = store("mart_activation", marts.activation(events), "marts")

@@ -17,7 +17,9 @@ def _same(a, b):
 
 
 def test_build_warehouse_matches_lazy_relations(spark, tmp_path):
-    paths = build_warehouse(spark, feeds_from_testdata(spark, SF_SMALL), root=str(tmp_path / "wh"))
+    paths = build_warehouse(
+        spark, feeds_from_testdata(spark, SF_SMALL), root=str(tmp_path / "wh"), partition_events_by_date=True
+    )
     wh = Warehouse(spark, SF_SMALL)
     for name in ("mart_acquisition", "mart_activation", "mart_retention", "mart_revenue", "mart_referral",
                  "weekly_kpis", "weekly_delta", "data_checks", "funnel_daily"):
@@ -28,6 +30,17 @@ def test_build_warehouse_matches_lazy_relations(spark, tmp_path):
     # date filters on the stored events prune partitions
     plan = events.where(F.col("event_date") == "2024-01-03")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(event_date" in plan
+    # clustered before the write: far fewer files than tasks x days
+    files = [f for f in events.inputFiles() if f.endswith(".parquet")]
+    days = events.select("event_date").distinct().count()
+    assert len(files) <= days + spark.sparkContext.defaultParallelism * 4
+
+
+def test_build_warehouse_default_layout(spark, tmp_path):
+    paths = build_warehouse(spark, feeds_from_testdata(spark, SF_SMALL), root=str(tmp_path / "wh"))
+    wh = Warehouse(spark, SF_SMALL)
+    for name in ("mart_retention", "mart_revenue", "weekly_kpi_long"):
+        assert _same(getattr(wh, name), read_table(spark, paths[name])), name
 
 
 def test_streaming_funnel_counts_match_batch(spark, tmp_path):

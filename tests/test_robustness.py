@@ -58,10 +58,11 @@ def test_read_feed_uses_the_declared_schema(spark, tmp_path):
 def test_rebuild_replaces_previous_build(spark, tmp_path):
     root = str(tmp_path / "wh")
     feeds = feeds_from_testdata(spark, SF_SMALL)
-    first = build_warehouse(spark, feeds, root=root)
+    # the date-partitioned layout is the one where a partial overwrite could leave stale days
+    first = build_warehouse(spark, feeds, root=root, partition_events_by_date=True)
     smaller = dict(feeds)
     smaller["posthog_raw"] = feeds["posthog_raw"].where("channel = 'organic'")
-    second = build_warehouse(spark, smaller, root=root)
+    second = build_warehouse(spark, smaller, root=root, partition_events_by_date=True)
     assert first == second
     events = read_table(spark, second["stg_posthog"])
     assert events.count() == events.where("channel = 'organic'").count() > 0
