@@ -35,7 +35,7 @@ def test_retention_with_a_hot_user(spark):
     assert per_user <= ev.select("event_date").distinct().count()
 
 
-def test_referral_and_activation_with_a_hot_user(spark):
+def test_referral_signups_with_a_hot_user(spark):
     ev = _hot_user_events(spark)
     web = staging.clean_ga4(feeds_from_testdata(spark, SF_SMALL)["ga4_raw"])
     search = staging.clean_gsc(feeds_from_testdata(spark, SF_SMALL)["gsc_raw"])
