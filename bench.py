@@ -4,7 +4,8 @@ Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8)
 Each query is forced to completion with the ``noop`` sink (full execution, no
 driver collect).  One cold pass (first run in the JVM: class loading, codegen)
 and one warm pass are timed; the headline value is the warm total.  The full
-build writes every relation of the warehouse under a scratch folder.
+build writes every relation of the warehouse under the shared folder
+(``spark.checkpoint.dir``), replacing the previous run's tables.
 
 Prints ONE JSON line.
 """
@@ -14,7 +15,6 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
 
 ROOT = os.path.dirname(os.path.abspath(__file__))
@@ -34,14 +34,9 @@ def main() -> None:
     from growthlens.session import build_session, shared_dir
     from growthlens.sources.testdata_feeds import feeds_from_testdata
 
-    scratch = tempfile.mkdtemp(prefix="growthlens-bench-")
-    spark = build_session(
-        master=f"local[{cpus}]",
-        app_name="growthlens-bench",
-        shuffle_partitions=2 * cpus,
-        extra_conf={"spark.checkpoint.dir": f"{scratch}/checkpoints"},
-    )
-    shared_dir(spark)
+    spark = build_session(master=f"local[{cpus}]", app_name="growthlens-bench", shuffle_partitions=2 * cpus)
+    # the full build replaces its previous run under the session's shared folder
+    scratch = f"{shared_dir(spark)}/growthlens/bench/{os.path.basename(sf_dir)}"
 
     cold: dict[str, float] = {}
     warm: dict[str, float] = {}

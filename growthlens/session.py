@@ -64,13 +64,14 @@ def build_session(
 def shared_dir(spark: SparkSession) -> str:
     """Folder shared by all executors for written tables and checkpoints.
 
-    Read from the session (``spark.checkpoint.dir`` / the context's checkpoint
-    dir).  Only a local-mode session without the setting gets a private folder.
+    Read from the session: the configured ``spark.checkpoint.dir`` (the stable
+    base, not the per-application subfolder Spark creates under it), else a
+    checkpoint dir set on the context.  Only a local-mode session with neither
+    gets a private temporary folder.
     """
     sc = spark.sparkContext
-    found = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None
-    )
+    found = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    found = found or sc.getCheckpointDir()
     if found:
         return found.rstrip("/")
     if not sc.master.startswith("local"):
@@ -80,4 +81,4 @@ def shared_dir(spark: SparkSession) -> str:
         )
     local = tempfile.mkdtemp(prefix="growthlens-")
     sc.setCheckpointDir(local)
-    return (sc.getCheckpointDir() or local).rstrip("/")
+    return local
