@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from growthlens.functions import MONEY, ratio
+from growthlens.functions import exact_sum, ratio
 from growthlens.operators.marts import AVG_ORDER_VALUE
 
 col = F.col
@@ -38,7 +38,7 @@ def ordered(name: str, mart: DataFrame) -> DataFrame:
 
 
 def _spend_sum(c: str = "total_spend") -> Column:
-    return F.sum(col(c).cast(MONEY)).cast("double")
+    return exact_sum(c)
 
 
 def exec_overview_daily(mart_acquisition: DataFrame) -> DataFrame:

@@ -1,11 +1,10 @@
-from growthlens.sources.io import conform, overwrite_roundtrip, read_feed, read_table, write_table
+from growthlens.sources.io import overwrite_roundtrip, read_feed, read_table, write_table
 from growthlens.sources.schemas import FEED_SCHEMAS
 from growthlens.sources.testdata_feeds import FEED_BUILDERS, feeds_from_testdata
 
 __all__ = [
     "FEED_BUILDERS",
     "FEED_SCHEMAS",
-    "conform",
     "overwrite_roundtrip",
     "read_feed",
     "read_table",

@@ -5,17 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from growthlens.sources.schemas import FEED_SCHEMAS
 
 
-def conform(df: DataFrame, schema: StructType) -> DataFrame:
-    """Project ``df`` onto ``schema``: same names, order and types (explicit casts)."""
-    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
-
-
 def read_feed(spark: SparkSession, name: str, path: str, fmt: str = "parquet") -> DataFrame:
     """Scan a raw feed with its declared schema (no inference, pushdown intact)."""
     schema = FEED_SCHEMAS[name]
