@@ -1,13 +1,15 @@
-from growthlens.sources.io import overwrite_roundtrip, read_feed, read_table, write_table
+from growthlens.sources.io import load_feed, overwrite_roundtrip, read_feed, read_table, stamp_loaded_at, write_table
 from growthlens.sources.schemas import FEED_SCHEMAS
 from growthlens.sources.testdata_feeds import FEED_BUILDERS, feeds_from_testdata
 
 __all__ = [
     "FEED_BUILDERS",
     "FEED_SCHEMAS",
+    "load_feed",
     "overwrite_roundtrip",
     "read_feed",
     "read_table",
+    "stamp_loaded_at",
     "feeds_from_testdata",
     "write_table",
 ]

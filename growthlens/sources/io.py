@@ -5,11 +5,31 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from growthlens.sources.schemas import FEED_SCHEMAS
 
 
+# Fixed value: ISO-8601 text of the load audit stamp.
+LOADED_AT_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
+
+def stamp_loaded_at(df: DataFrame) -> DataFrame:
+    """Set the ``loaded_at`` audit column to the load time as ISO text.
+
+    ``current_timestamp()`` is fixed once per query, so every row of one load
+    carries the same stamp (also on retried tasks).
+    """
+    stamp = F.date_format(F.current_timestamp(), LOADED_AT_FORMAT).alias("loaded_at")
+    return df.select(*[c for c in df.columns if c != "loaded_at"], stamp)
+
+
+def load_feed(df: DataFrame, path: str) -> DataFrame:
+    """Full-replace load of a raw feed with a fresh audit stamp; returns the stored copy."""
+    return overwrite_roundtrip(stamp_loaded_at(df), path)
+
+
 def read_feed(spark: SparkSession, name: str, path: str, fmt: str = "parquet") -> DataFrame:
     """Scan a raw feed with its declared schema (no inference, pushdown intact)."""
     schema = FEED_SCHEMAS[name]

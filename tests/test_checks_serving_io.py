@@ -72,3 +72,18 @@ def test_partition_replacing_load_keeps_other_partitions(spark, tmp_path):
         spark.createDataFrame([(3, "b")], "k int, d string"), path, partition_by=["d"], replace_partitions_only=True
     )
     assert sorted(rows(read_table(spark, path), "k", "d")) == [(1, "a"), (3, "b")]
+
+
+def test_load_feed_stamps_every_row_once(spark, tmp_path):
+    import datetime as _dt
+
+    from growthlens.sources.io import load_feed
+    from growthlens.sources.testdata_feeds import posthog_raw
+
+    raw = posthog_raw(spark, SF_SMALL)
+    stored = load_feed(raw, str(tmp_path / "feed"))
+    assert stored.columns == raw.columns
+    stamps = [r[0] for r in stored.select("loaded_at").distinct().collect()]
+    assert len(stamps) == 1
+    _dt.datetime.fromisoformat(stamps[0])  # ISO text
+    assert stored.count() == raw.count()
