@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import sys
 import time
 
@@ -25,6 +26,22 @@ def _run(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
+def _plan_metrics(df) -> dict:
+    """Counts from the initial (pre-AQE) physical plan: event-feed scans, shuffles, sorts, joins.
+
+    AQE may still turn a sort-merge join into a broadcast join at runtime; the
+    post-AQE plans are summarised by ``tools/plan_report.py`` (PLANS.md).
+    """
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return {
+        "event_scans": len(re.findall(r"FileScan parquet [^\n]*events\.parquet", plan)),
+        "scans": plan.count("FileScan parquet"),
+        "shuffles": len(re.findall(r"Exchange (hash|range|single|round)", plan, flags=re.IGNORECASE)),
+        "sorts": len(re.findall(r"\bSort \[", plan)),
+        "joins": len(re.findall(r"\w+Join ", plan)),
+    }
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -40,11 +57,15 @@ def main() -> None:
 
     cold: dict[str, float] = {}
     warm: dict[str, float] = {}
+    plans: dict[str, dict] = {}
     for phase, times in (("cold", cold), ("warm", warm)):
         for name, query in QUERIES.items():
             t0 = time.perf_counter()
-            _run(query(spark, sf_dir))
+            df = query(spark, sf_dir)
+            _run(df)
             times[name] = round(time.perf_counter() - t0, 3)
+            if phase == "warm":
+                plans[name] = _plan_metrics(df)
 
     t0 = time.perf_counter()
     build_warehouse(spark, feeds_from_testdata(spark, sf_dir), root=f"{scratch}/warehouse")
@@ -62,6 +83,7 @@ def main() -> None:
                 "cold_queries": cold,
                 "cold_total": round(sum(cold.values()), 3),
                 "full_build_sec": full_build,
+                "plan_initial": plans,
                 "n_queries": len(warm),
                 "cpus": cpus,
                 "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
