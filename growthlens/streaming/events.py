@@ -1,10 +1,13 @@
 """The event feed as a stream.
 
 The event cleaner is stateless, so the batch function runs unchanged on a
-streaming DataFrame.  The daily funnel counts (the activation mart's input)
-become a watermarked event-time aggregation: one-day tumbling windows per
-channel, emitted in append mode once the watermark passes the day, with state
-kept in the checkpoint folder so a restarted query resumes where it stopped.
+streaming DataFrame; ``start_event_cleaning`` appends newly arrived raw event
+files, cleaned, to a date-partitioned table (the file sink's commit log makes
+the append exactly-once across restarts).  The daily funnel counts (the
+activation mart's input) become a watermarked event-time aggregation: one-day
+tumbling windows per channel, emitted in append mode once the watermark passes
+the day, with state kept in the checkpoint folder so a restarted query resumes
+where it stopped.
 """
 
 from __future__ import annotations
@@ -48,6 +51,37 @@ def funnel_counts_stream(clean_events: DataFrame, late_data: str = "2 days") ->
     )
 
 
+def _start(df: DataFrame, out_dir: str, checkpoint_dir: str, available_now: bool, processing_time: str | None,
+           partition_by: list[str] | None = None) -> StreamingQuery:
+    writer = (
+        df.writeStream.format("parquet")
+        .outputMode("append")
+        .option("checkpointLocation", checkpoint_dir)
+        .option("path", out_dir)
+    )
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    elif processing_time:
+        writer = writer.trigger(processingTime=processing_time)
+    return writer.start()
+
+
+def start_event_cleaning(
+    spark: SparkSession,
+    raw_dir: str,
+    out_dir: str,
+    checkpoint_dir: str,
+    available_now: bool = True,
+    processing_time: str | None = None,
+    max_files_per_trigger: int | None = None,
+) -> StreamingQuery:
+    """Clean raw event files as they arrive and append them to a table partitioned by ``event_date``."""
+    cleaned = clean_event_stream(spark, raw_dir, max_files_per_trigger)
+    return _start(cleaned, out_dir, checkpoint_dir, available_now, processing_time, partition_by=["event_date"])
+
+
 def start_funnel_counts(
     spark: SparkSession,
     raw_dir: str,
@@ -64,14 +98,4 @@ def start_funnel_counts(
     runs continuously on ``processing_time`` triggers.
     """
     counts = funnel_counts_stream(clean_event_stream(spark, raw_dir), late_data)
-    writer = (
-        counts.writeStream.format("parquet")
-        .outputMode("append")
-        .option("checkpointLocation", checkpoint_dir)
-        .option("path", out_dir)
-    )
-    if available_now:
-        writer = writer.trigger(availableNow=True)
-    elif processing_time:
-        writer = writer.trigger(processingTime=processing_time)
-    return writer.start()
+    return _start(counts, out_dir, checkpoint_dir, available_now, processing_time)

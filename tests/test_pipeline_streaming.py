@@ -77,3 +77,20 @@ def test_relations_over_any_feeds_and_sql_views(spark):
     )
     assert _same(via_sql, via_df)
     assert _same(rel.mart_retention, Warehouse(spark, SF_SMALL).mart_retention)
+
+
+def test_streaming_cleaning_appends_exactly_once(spark, tmp_path):
+    from growthlens.operators import staging
+    from growthlens.streaming import start_event_cleaning
+
+    raw_dir, out_dir, ckpt = str(tmp_path / "raw"), str(tmp_path / "clean"), str(tmp_path / "ckpt")
+    raw = posthog_raw(spark, SF_SMALL)
+    raw.where("event_id < 'ph_5'").write.parquet(raw_dir, mode="append")
+    start_event_cleaning(spark, raw_dir, out_dir, ckpt).awaitTermination(300)
+    # restart on the same checkpoint with nothing new: no duplicate appends
+    start_event_cleaning(spark, raw_dir, out_dir, ckpt).awaitTermination(300)
+    raw.where("event_id >= 'ph_5'").write.parquet(raw_dir, mode="append")
+    start_event_cleaning(spark, raw_dir, out_dir, ckpt).awaitTermination(300)
+    streamed = spark.read.parquet(out_dir)
+    batch = staging.clean_posthog(raw)
+    assert _same(batch, streamed)
