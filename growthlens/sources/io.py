@@ -71,4 +71,4 @@ def overwrite_roundtrip(df: DataFrame, path: str, partition_by: Sequence[str] |
     The returned frame reads the files, so its lineage stops at the write.
     """
     write_table(df, path, partition_by=partition_by)
-    return read_table(df.sparkSession, path, schema=None).select(*df.columns)
+    return read_table(df.sparkSession, path, schema=df.schema).select(*df.columns)
