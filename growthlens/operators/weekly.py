@@ -204,6 +204,25 @@ def weekly_delta(
     return wide.select("week_start", "week_end", *CHANGE_SPECS)
 
 
+def weekly_brief(
+    mart_acquisition: DataFrame,
+    mart_activation: DataFrame,
+    mart_referral: DataFrame,
+    as_of: dt.date | None = None,
+) -> DataFrame:
+    """The brief's numbers: one week's 11 KPIs and its 7 changes vs the week before.
+
+    With ``as_of`` that week (zeros if it has no rows); without it, the latest
+    week that has rows: a top-1 by week over the week-grain comparison, which
+    Spark runs as a per-partition top-1 (no second pass over the marts, no
+    driver round trip).
+    """
+    wide = weekly_comparison(mart_acquisition, mart_activation, mart_referral, as_of)
+    if as_of is not None:
+        return wide
+    return wide.orderBy(F.col("week_start").desc()).limit(1)
+
+
 def _direction(change: Column, polarity: str) -> Column:
     if polarity == NEUTRAL:
         return F.when(change > 0, F.lit("up")).when(change < 0, F.lit("down")).otherwise(F.lit("flat"))

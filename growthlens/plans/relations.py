@@ -25,6 +25,7 @@ WEEKLY_NAMES = (
     "weekly_kpis",
     "weekly_delta",
     "weekly_kpi_long",
+    "weekly_brief",
 )
 CHECK_NAMES = ("dq_not_null", "dq_accepted_values", "dq_expect_no_rows", "data_checks")
 SERVING_NAMES = (
@@ -141,6 +142,10 @@ class Relations:
     def weekly_kpi_long(self) -> DataFrame:
         return weekly.weekly_kpi_long(self.mart_acquisition, self.mart_activation, self.mart_referral)
 
+    @cached_property
+    def weekly_brief(self) -> DataFrame:
+        return weekly.weekly_brief(self.mart_acquisition, self.mart_activation, self.mart_referral)
+
     # checks -----------------------------------------------------------------
     def _marts(self) -> Mapping[str, DataFrame]:
         """The five marts, built only when a check asks for one."""

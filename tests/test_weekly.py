@@ -103,3 +103,18 @@ def test_single_week_delta_matches_all_weeks_form(spark):
     one = weekly.weekly_delta(acq, act, ref, as_of=J(12)).collect()
     assert len(one) == 1 and one[0].asDict() == every[J(8)]
     assert one[0]["activation_change"] == -50.0
+
+
+def test_weekly_brief_latest_week_and_as_of(spark):
+    acq, act, ref = marts(
+        spark,
+        [(J(1), "meta", 10.0, 10, 10.0, 1.0, 0.0), (J(8), "meta", 11.0, 9, 11.0, 1.0, 0.0)],
+        [(J(2), "a", 3, 0.5, 0.1)],
+        [],
+    )
+    latest = weekly.weekly_brief(acq, act, ref).collect()
+    assert len(latest) == 1 and latest[0]["week_start"] == J(8) and latest[0]["cac_change"] == 10.0
+    first = weekly.weekly_brief(acq, act, ref, as_of=J(3)).collect()
+    assert len(first) == 1 and first[0]["week_start"] == J(1) and first[0]["total_signups"] == 3
+    plan = weekly.weekly_brief(acq, act, ref)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
