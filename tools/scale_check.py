@@ -27,7 +27,7 @@ def make_copy(spark, sf_dir: str, out: str, copies: int) -> None:
     ev = spark.read.parquet(f"{sf_dir}/events.parquet")
     n = ev.count()
     # each input row is emitted ``copies`` times by a narrow generator
-    big = ev.select("*", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).cast("bigint").alias("copy")).select(
+    big = ev.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(copies - 1).cast("bigint"))).alias("copy")).select(
         (F.col("event_id") + F.col("copy") * F.lit(n)).alias("event_id"),
         "ts",
         # a third of the rows belong to one user; the rest keep distinct users per copy
