@@ -87,3 +87,16 @@ def test_load_feed_stamps_every_row_once(spark, tmp_path):
     assert len(stamps) == 1
     _dt.datetime.fromisoformat(stamps[0])  # ISO text
     assert stored.count() == raw.count()
+
+
+def test_shared_dir_comes_from_the_session(spark):
+    from growthlens.session import shared_dir
+
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
+        "spark.checkpoint.dir", None
+    )
+    got = shared_dir(spark)
+    if configured:
+        assert got == configured.rstrip("/")
+    else:  # local session without the setting: a private folder, registered as the checkpoint dir
+        assert spark.sparkContext.getCheckpointDir()
