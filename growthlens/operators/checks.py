@@ -94,3 +94,12 @@ def run_checks(
     for p in parts[1:]:
         out = out.unionByName(p)
     return out.withColumn("passed", col("failures") == 0)
+
+
+def failing_rows(table: DataFrame, check: Check) -> DataFrame:
+    """The rows of ``table`` that fail ``check`` (empty when it passes).
+
+    A filter on the table, so it stays lazy and distributed; the assertion
+    checks return exactly the rows their predicate selects.
+    """
+    return table.where(check.failing())

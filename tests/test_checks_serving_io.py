@@ -100,3 +100,13 @@ def test_shared_dir_comes_from_the_session(spark):
         assert got == configured.rstrip("/")
     else:  # local session without the setting: a private folder, registered as the checkpoint dir
         assert spark.sparkContext.getCheckpointDir()
+
+
+def test_failing_rows_of_a_check(spark):
+    wh = Warehouse(spark, SF_MEDIUM)
+    cac_not_null = next(c for c in checks.default_checks() if c.model == "mart_acquisition" and c.column == "cac")
+    bad = checks.failing_rows(wh.mart_acquisition, cac_not_null)
+    got = rows(bad, "channel", "total_conversions", "cac")
+    assert len(got) == 1 and got[0][1] == 0 and got[0][2] is None
+    roas = next(c for c in checks.default_checks() if c.test == "assert_roas_positive")
+    assert checks.failing_rows(wh.mart_acquisition, roas).count() == 0
