@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from growthlens.functions import exact_sum, ratio
-from growthlens.operators.marts import AVG_ORDER_VALUE
+from growthlens.operators.marts import AVG_ORDER_VALUE, FUNNEL_COUNTS
 
 col = F.col
 
@@ -107,14 +107,20 @@ def referral_trend(mart_referral: DataFrame) -> DataFrame:
     )
 
 
-def funnel_daily(stg_posthog: DataFrame) -> DataFrame:
-    """Full funnel per day across all channels (days without signups included)."""
-    daily = stg_posthog.groupBy(col("event_date").alias("date")).agg(
-        F.count_if("is_signup").alias("total_signups"),
-        F.count_if("is_activation").alias("total_activations"),
-        F.count_if("is_purchase").alias("total_purchases"),
-        F.count_if("is_churn").alias("total_churns"),
-    )
+def funnel_daily(stg_posthog: DataFrame | None = None, *, funnel_counts: DataFrame | None = None) -> DataFrame:
+    """Full funnel per day across all channels (days without signups included).
+
+    From the cleaned events, or by summing precomputed (date, channel) counts.
+    """
+    if funnel_counts is not None:
+        daily = funnel_counts.groupBy("date").agg(*[F.sum(c).alias(c) for c in FUNNEL_COUNTS])
+    else:
+        daily = stg_posthog.groupBy(col("event_date").alias("date")).agg(
+            F.count_if("is_signup").alias("total_signups"),
+            F.count_if("is_activation").alias("total_activations"),
+            F.count_if("is_purchase").alias("total_purchases"),
+            F.count_if("is_churn").alias("total_churns"),
+        )
     return daily.select(
         "date",
         "total_signups",

@@ -12,6 +12,11 @@ Physical choices:
   or two days (without it every task would write a file for every day it
   holds), and a hot day or hot user is still split across many tasks.  The
   range keys are data columns, so a retried task gets the same rows.
+* The stored events are then scanned only twice, into two shared
+  intermediates that are stored too: funnel counts per (date, channel) feed
+  the activation mart, the revenue mart and the daily funnel; distinct
+  (user, day) rows with a signed-up flag feed retention and the referral
+  signup counts (five readers, two scans of the largest table).
 * The other five staging relations are read by one mart each, so they stay
   lazy views (their filters and projections fuse into the mart's scan).
 * Marts are written as full-replace tables; the revenue mart reads the stored
@@ -65,11 +70,14 @@ def build_warehouse(
     else:
         events = store("stg_posthog", stg["stg_posthog"], "staging")
 
+    counts = store("funnel_counts", marts.daily_funnel_counts(events), "intermediate")
+    user_days = store("user_days", marts.user_active_days(events, with_signup_flag=True), "intermediate")
+
     acq = store("mart_acquisition", marts.acquisition(stg["stg_meta_ads"], stg["stg_google_ads"]), "marts")
-    act = store("mart_activation", marts.activation(events), "marts")
-    ret = store("mart_retention", marts.retention(events), "marts")
-    rev = store("mart_revenue", marts.unit_economics(acq, events, **mart_params), "marts")
-    ref = store("mart_referral", marts.referral(stg["stg_ga4"], stg["stg_gsc"], events), "marts")
+    act = store("mart_activation", marts.activation(funnel_counts=counts), "marts")
+    ret = store("mart_retention", marts.retention(user_days=user_days), "marts")
+    rev = store("mart_revenue", marts.unit_economics(acq, funnel_counts=counts, **mart_params), "marts")
+    ref = store("mart_referral", marts.referral(stg["stg_ga4"], stg["stg_gsc"], user_days=user_days), "marts")
 
     store("weekly_kpis", weekly.weekly_kpis(acq, act, ref), "weekly")
     store("weekly_delta", weekly.weekly_delta(acq, act, ref), "weekly")
@@ -90,7 +98,7 @@ def build_warehouse(
         "retention_milestones": serving.retention_milestones(ret),
         "revenue_by_channel": serving.revenue_by_channel(rev),
         "referral_trend": serving.referral_trend(ref),
-        "funnel_daily": serving.funnel_daily(events),
+        "funnel_daily": serving.funnel_daily(funnel_counts=counts),
         "email_campaign_summary": serving.email_campaign_summary(stg["stg_brevo"]),
     }
     for name, df in dashboards.items():

@@ -198,3 +198,22 @@ def test_results_do_not_depend_on_shuffle_partitions(spark):
         assert results[0] == results[1]
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_shared_intermediates_give_the_same_marts(spark):
+    wh = Warehouse(spark, SF_MEDIUM)
+    ev = wh.stg_posthog
+    counts = marts.daily_funnel_counts(ev)
+    days = marts.user_active_days(ev, with_signup_flag=True)
+
+    def same(a, b):
+        b = b.select(*a.columns)
+        return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+    assert same(marts.activation(ev), marts.activation(funnel_counts=counts))
+    assert same(marts.retention(ev), marts.retention(user_days=days))
+    assert same(marts.unit_economics(wh.mart_acquisition, ev), marts.unit_economics(wh.mart_acquisition, funnel_counts=counts))
+    assert same(marts.referral(wh.stg_ga4, wh.stg_gsc, ev), marts.referral(wh.stg_ga4, wh.stg_gsc, user_days=days))
+    from growthlens.operators import serving
+
+    assert same(serving.funnel_daily(ev), serving.funnel_daily(funnel_counts=counts))

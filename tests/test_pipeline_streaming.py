@@ -22,7 +22,8 @@ def test_build_warehouse_matches_lazy_relations(spark, tmp_path):
     )
     wh = Warehouse(spark, SF_SMALL)
     for name in ("mart_acquisition", "mart_activation", "mart_retention", "mart_revenue", "mart_referral",
-                 "weekly_kpis", "weekly_delta", "data_checks", "funnel_daily"):
+                 "weekly_kpis", "weekly_delta", "weekly_kpi_long", "data_checks", "funnel_daily", "channel_cac",
+                 "retention_milestones", "revenue_by_channel", "referral_trend", "email_campaign_summary"):
         assert _same(getattr(wh, name), read_table(spark, paths[name])), name
     events = read_table(spark, paths["stg_posthog"])
     assert dict(events.dtypes)["event_date"] == "date"
@@ -37,10 +38,15 @@ def test_build_warehouse_matches_lazy_relations(spark, tmp_path):
 
 
 def test_build_warehouse_default_layout(spark, tmp_path):
-    paths = build_warehouse(spark, feeds_from_testdata(spark, SF_SMALL), root=str(tmp_path / "wh"))
-    wh = Warehouse(spark, SF_SMALL)
-    for name in ("mart_retention", "mart_revenue", "weekly_kpi_long"):
+    paths = build_warehouse(
+        spark, feeds_from_testdata(spark, SF_SMALL), root=str(tmp_path / "wh"),
+        channel_map={"facebook": "meta", "instagram": "meta"},
+    )
+    wh = Warehouse(spark, SF_SMALL, channel_map={"facebook": "meta", "instagram": "meta"})
+    for name in ("mart_retention", "mart_revenue", "mart_referral", "funnel_daily", "weekly_kpi_long"):
         assert _same(getattr(wh, name), read_table(spark, paths[name])), name
+    # the shared intermediates are the only readers of the stored events
+    assert {"funnel_counts", "user_days"} <= set(paths)
 
 
 def test_streaming_funnel_counts_match_batch(spark, tmp_path):
