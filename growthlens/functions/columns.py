@@ -93,7 +93,11 @@ def pct_change(new: ColumnOrName, old: ColumnOrName) -> Column:
     """Percent change rounded half-even to 1 decimal; 0 when ``old`` is 0.
 
     Inputs are expected to be NULL-free already (missing KPIs count as 0).
+    A small negative change keeps its sign when it rounds to zero (``-0.0``),
+    as float rounding does.
     """
     new_c, old_c = _c(new).cast("double"), _c(old).cast("double")
-    change = F.bround(F.try_divide(new_c - old_c, old_c) * F.lit(100.0), 1)
-    return F.when(old_c == F.lit(0.0), F.lit(0.0)).otherwise(change)
+    raw = F.try_divide(new_c - old_c, old_c) * F.lit(100.0)
+    rounded = F.bround(raw, 1)
+    signed = F.when((rounded == F.lit(0.0)) & (raw < F.lit(0.0)), F.lit(-0.0)).otherwise(rounded)
+    return F.when(old_c == F.lit(0.0), F.lit(0.0)).otherwise(signed)

@@ -40,12 +40,15 @@ def test_pct_change_matches_python_rounding(spark):
 
     rnd = random.Random(7)
     pairs = [(round(rnd.uniform(0, 500), 2), round(rnd.uniform(0, 500), 2)) for _ in range(400)]
-    pairs += [(101.35, 100.0), (101.25, 100.0), (5.0, 0.0), (0.0, 0.0)]
+    pairs += [(101.35, 100.0), (101.25, 100.0), (5.0, 0.0), (0.0, 0.0), (99.96, 100.0), (100.04, 100.0)]
     df = spark.createDataFrame(pairs, "n double, o double")
     got = [r[0] for r in df.select(pct_change("n", "o")).collect()]
+    import math
+
     for (n, o), g in zip(pairs, got):
         raw = 0 if o == 0 else ((n - o) / o) * 100
         want = 0 if o == 0 else round(raw, 1)
+        assert math.copysign(1.0, g) == math.copysign(1.0, want), (n, o, g, want)  # -0.0 stays -0.0
         if g != want:
             text = repr(raw)
             assert "." in text and text.split(".")[1][1:] == "5", (n, o, g, want)
