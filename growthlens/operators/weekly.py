@@ -20,7 +20,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from growthlens.functions import MONEY, pct_change, week_start
+from growthlens.functions import money, pct_change, week_start
 
 col = F.col
 
@@ -92,7 +92,7 @@ def _arm(mart: DataFrame, cols: dict[str, str], start: dt.date | None = None, en
         mart = mart.where(col("date").between(F.lit(start), F.lit(end)))
     exprs = [week_start("date").alias("week_start")]
     for out, src in cols.items():
-        c = col(src).cast(MONEY) if out == "spend" else col(src)
+        c = money(src) if out == "spend" else col(src)
         exprs.append(c.alias(out))
     return mart.select(*exprs)
 
