@@ -4,10 +4,10 @@ The event cleaner is stateless, so the batch function runs unchanged on a
 streaming DataFrame; ``start_event_cleaning`` appends newly arrived raw event
 files, cleaned, to a date-partitioned table (the file sink's commit log makes
 the append exactly-once across restarts).  The daily funnel counts (the
-activation mart's input) become a watermarked event-time aggregation: one-day
-tumbling windows per channel, emitted in append mode once the watermark passes
-the day, with state kept in the checkpoint folder so a restarted query resumes
-where it stopped.
+activation mart's input) become a watermarked event-time aggregation per day
+and channel, emitted in append mode once the watermark passes the day, with
+state kept in the checkpoint folder so a restarted query resumes where it
+stopped.
 """
 
 from __future__ import annotations
@@ -31,18 +31,25 @@ def clean_event_stream(spark: SparkSession, raw_dir: str, max_files_per_trigger:
 
 
 def funnel_counts_stream(clean_events: DataFrame, late_data: str = "2 days") -> DataFrame:
-    """Per (date, channel) funnel counts; a day is final once the watermark passes it."""
-    timed = clean_events.withColumn("event_time", col("event_date").cast("timestamp")).withWatermark(
-        "event_time", late_data
+    """Per (date, channel) funnel counts; a day is final once the watermark passes it.
+
+    The event time of a row is the start of its day, and the day itself is the
+    grouping key (no window function): a window is aligned to UTC days, so in a
+    session time zone other than UTC its start would fall on the previous local
+    date.  A day's row is emitted once the watermark (latest day seen minus
+    ``late_data``) has passed the day; rows for an emitted day are dropped as late.
+    """
+    timed = clean_events.withColumn("day_start", col("event_date").cast("timestamp")).withWatermark(
+        "day_start", late_data
     )
-    counts = timed.groupBy(F.window("event_time", "1 day"), "channel").agg(
+    counts = timed.groupBy("day_start", "channel").agg(
         F.count_if("is_signup").alias("total_signups"),
         F.count_if("is_activation").alias("total_activations"),
         F.count_if("is_purchase").alias("total_purchases"),
         F.count_if("is_churn").alias("total_churns"),
     )
     return counts.select(
-        col("window.start").cast("date").alias("date"),
+        col("day_start").cast("date").alias("date"),
         "channel",
         "total_signups",
         "total_activations",

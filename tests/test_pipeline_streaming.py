@@ -100,3 +100,20 @@ def test_streaming_cleaning_appends_exactly_once(spark, tmp_path):
     streamed = spark.read.parquet(out_dir)
     batch = staging.clean_posthog(raw)
     assert _same(batch, streamed)
+
+
+def test_streaming_funnel_days_do_not_depend_on_the_session_time_zone(spark, tmp_path):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        raw_dir = str(tmp_path / "raw")
+        posthog_raw(spark, SF_SMALL).write.parquet(raw_dir)
+        out_dir, ckpt = str(tmp_path / "out"), str(tmp_path / "ckpt")
+        start_funnel_counts(spark, raw_dir, out_dir, ckpt).awaitTermination(300)
+        cols = ["date", "channel", "total_signups", "total_activations", "total_purchases", "total_churns"]
+        got = sorted(rows(spark.read.parquet(out_dir), *cols))
+        days = sorted({r[0] for r in got})
+        batch = marts.daily_funnel_counts(Warehouse(spark, SF_SMALL).stg_posthog).where(F.col("date").isin(days))
+        assert got and got == sorted(rows(batch, *cols))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
