@@ -76,6 +76,16 @@ def main(argv):
         print(f"* `{name}`")
         for table, read, pushed in scans:
             print(f"  * {table}: reads {', '.join(read)}; pushed {pushed}")
+    for name in ("mart_retention", "mart_referral"):
+        df = QUERIES[name](spark, sf_dir)
+        df.collect()
+        text = df._jdf.queryExecution().explainString(
+            spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+        )
+        print(f"\n## `{name}`: explain(\"formatted\") after execution\n")
+        print("```")
+        print(text.strip())
+        print("```")
     spark.stop()
 
 
