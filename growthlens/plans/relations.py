@@ -69,6 +69,8 @@ class Relations:
         self.mart_params = mart_params
 
     def raw(self, name: str) -> DataFrame:
+        if name not in self._feeds:
+            raise KeyError(f"feed {name!r} is needed but was not given (have: {sorted(self._feeds)})")
         return self._feeds[name]
 
     # staging ------------------------------------------------------------
