@@ -193,6 +193,8 @@ def test_results_do_not_depend_on_shuffle_partitions(spark):
                     sorted(rows(wh.mart_acquisition)),
                     sorted(rows(wh.mart_retention)),
                     sorted(rows(wh.mart_referral)),
+                    sorted(rows(wh.weekly_kpis)),
+                    sorted(rows(wh.weekly_delta)),
                 )
             )
         assert results[0] == results[1]
