@@ -69,3 +69,14 @@ def test_activation_aggregates_map_side_before_shuffle(spark):
     partial = plan.find("partial_count")
     exchange = plan.find("Exchange hashpartitioning")
     assert partial > exchange > 0  # printed top-down: the partial aggregate sits below the exchange
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_every_query_reads_the_testdata_tables(spark, name):
+    df = QUERIES[name](spark, SF_SMALL)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    if name == "load_overwrite_roundtrip":
+        # reads back the table it has just written from the testdata events
+        assert "FileScan parquet" in plan and "growthlens/raw/posthog_raw" in plan
+    else:
+        assert re.search(rf"FileScan parquet [^\n]*{re.escape(SF_SMALL)}/\w+\.parquet", plan), name
