@@ -81,3 +81,17 @@ def null_safe(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
     for name in names:
         condition = condition & left[name].eqNullSafe(right[name])
     return condition
+
+
+def sampled_passages(chars: int, passages: int) -> Column:
+    """Up to ``passages`` pieces of ``chars`` characters of ``text`` from places drawn by a hash of ``doc_id``."""
+    room = F.greatest(F.length("text") - chars + 1, F.lit(1))
+    draws = F.sequence(F.lit(1), F.least(F.lit(passages), F.ceil(F.length("text") / chars).cast("int") + 1))
+    return F.transform(
+        draws, lambda j: F.substring(F.col("text"), (F.pmod(F.xxhash64("doc_id", j), room) + 1).cast("int"), F.lit(chars))
+    )
+
+
+def hash_share(seed: int) -> Column:
+    """A number from 0 to 1 drawn by a hash of ``doc_id``."""
+    return F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 30)) / F.lit(float(1 << 30))

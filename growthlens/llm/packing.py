@@ -24,13 +24,12 @@ END_ID = 2
 LENGTH = 4096
 # Documents of a randomised group: bounds the memory of one packing call.
 GROUP_DOCS = 4096
-CACHE_ENTRIES = 250_000
+# Pre-tokens a worker remembers before it starts afresh.
+CACHE_ENTRIES = 400_000
 _WORDS = re.compile(r"[^ \t\n\r\x0b\x0c]+")
-# Plain chunks: visible ASCII and the letters of Latin-1; anything else goes to the library.
-_PLAIN = re.compile("[!-~À-ÿ]+")
-_PRETOKENS = re.compile(
-    "'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+"
-)
+# Plain characters: visible ASCII, the letters of Latin-1 and ASCII white space.
+_PLAIN_TEXT = re.compile(r"[ \t\n\r\x0b\x0c!-~À-ÿ]*")
+_PRETOKENS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+")
 _ENCODERS: dict[str, WordEncoder] = {}
 
 
@@ -38,9 +37,10 @@ class WordEncoder:
     """Ids of whole texts, as the tokenizers library gives them for the same file.
 
     The pre-tokenizer drops white space, so a text's ids are those of its
-    white-space-separated chunks in order.  Each chunk's ids are worked out
-    once and remembered: plain chunks by merging arrays of pre-tokens, all
-    others (special strings, other scripts, control characters) by the library.
+    pre-tokens in order.  Each distinct pre-token's ids are worked out once, by
+    merging arrays of pre-tokens, and remembered in one flat array.  Chunks
+    with anything but plain characters (special strings, other scripts, control
+    characters) are encoded by the library as they are.
     """
 
     def __init__(self, path: str):
@@ -49,43 +49,40 @@ class WordEncoder:
         self.clear()
 
     def clear(self) -> None:
-        self.pretokens: dict[str, np.ndarray] = {}
         self.slots: dict[str, int] = {}
         self.ids, self.starts, self.sizes = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
 
-    def _learn(self, chunks: list[str]) -> None:
-        split: list[list[str] | None] = [
-            _PRETOKENS.findall(c.lower()) if _PLAIN.fullmatch(c) and "<|" not in c else None for c in chunks
-        ]
-        new = list({x for pieces in split if pieces for x in pieces} - self.pretokens.keys())
-        ids, counts = self.merger.merge([x.encode() for x in new])
-        self.pretokens.update(zip(new, np.split(ids.astype(np.uint32), np.cumsum(counts)[:-1]), strict=False))
-        of = self.pretokens.__getitem__
-        parts: list[np.ndarray] = []
-        sizes: list[int] = []
-        for chunk, pieces in zip(chunks, split, strict=True):
-            if pieces is None:
-                got = [np.array(self.library.encode(chunk, add_special_tokens=False).ids, dtype=np.uint32)]
-            else:
-                got = list(map(of, pieces))
-            parts += got
-            sizes.append(sum(map(len, got)))
-        start = len(self.slots)
-        self.slots.update(zip(chunks, range(start, start + len(chunks)), strict=True))
-        added = np.array(sizes, np.int64)
-        self.starts = np.r_[self.starts, len(self.ids) + np.cumsum(added) - added]
-        self.sizes = np.r_[self.sizes, added]
-        self.ids = np.concatenate([self.ids, *parts])
+    @staticmethod
+    def split(text: str) -> list[str]:
+        """Pre-tokens in lower case; a chunk for the library is led by a blank."""
+        if _PLAIN_TEXT.fullmatch(text) and "<|" not in text:
+            return _PRETOKENS.findall(text.lower())
+        out: list[str] = []
+        for chunk in _WORDS.findall(text):
+            plain = _PLAIN_TEXT.fullmatch(chunk) and "<|" not in chunk
+            out += _PRETOKENS.findall(chunk.lower()) if plain else [" " + chunk]
+        return out
+
+    def _learn(self, new: list[str]) -> None:
+        plain = [x for x in new if x[0] != " "]
+        other = [x for x in new if x[0] == " "]
+        ids, sizes = self.merger.merge([x.encode() for x in plain])
+        more = [self.library.encode(x[1:], add_special_tokens=False).ids for x in other]
+        sizes = np.r_[sizes, np.fromiter(map(len, more), np.int64, len(more))]
+        self.slots.update(zip([*plain, *other], range(len(self.slots), len(self.slots) + len(new)), strict=True))
+        self.starts = np.r_[self.starts, len(self.ids) + np.cumsum(sizes) - sizes]
+        self.sizes = np.r_[self.sizes, sizes]
+        self.ids = np.concatenate([self.ids, ids.astype(np.uint32), *(np.array(x, np.uint32) for x in more)])
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if max(len(self.slots), len(self.pretokens)) > CACHE_ENTRIES:
+        if len(self.slots) > CACHE_ENTRIES:
             self.clear()
-        words = [_WORDS.findall(t) for t in texts]
+        words = [self.split(t) for t in texts]
         if new := list({w for ws in words for w in ws} - self.slots.keys()):
             self._learn(new)
         out = []
         for ws in words:
-            slot = np.fromiter(map(self.slots.__getitem__, ws), np.int64, len(ws))
+            slot = np.array(list(map(self.slots.__getitem__, ws)), np.int64)
             size = self.sizes[slot]
             shift = np.repeat(self.starts[slot] - (np.cumsum(size) - size), size)
             out.append(self.ids[shift + np.arange(len(shift))])
