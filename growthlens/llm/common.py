@@ -75,14 +75,6 @@ def connected_components(edges: DataFrame) -> DataFrame:
             return roots
 
 
-def null_safe(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
-    """Join condition on ``names`` under which nulls are equal."""
-    condition = F.lit(True)
-    for name in names:
-        condition = condition & left[name].eqNullSafe(right[name])
-    return condition
-
-
 def sampled_passages(chars: int, passages: int) -> Column:
     """Up to ``passages`` pieces of ``chars`` characters of ``text`` from places drawn by a hash of ``doc_id``."""
     room = F.greatest(F.length("text") - chars + 1, F.lit(1))
