@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from growthlens.llm import chat, secrets
 from growthlens.llm.common import table
+from growthlens.llm.sql import ORACLE
 from growthlens.llm.embedding_dedup import near_duplicate_vectors
 from growthlens.llm.language_id import fit_language_model, identify_languages
 from growthlens.llm.minhash import near_duplicates
@@ -98,6 +99,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
+__all__ = ["ORACLE", "QUERIES"]
+
 QUERIES = {
     q.__name__: q
     for q in (
