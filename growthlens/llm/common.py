@@ -3,16 +3,16 @@
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Iterator
-from typing import TYPE_CHECKING
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-if TYPE_CHECKING:
-    from pyspark.sql import Column
+from growthlens.session import shared_dir
 
 SLICE_BYTES = 4 << 20
 
@@ -40,13 +40,16 @@ def text_slices(
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """``df`` stored in the shared checkpoint folder, so that later steps do not compute it again."""
-    from growthlens.session import shared_dir
+    """``df`` written as Parquet to the shared folder and read again.
 
-    spark = df.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
+    Later steps neither compute it again nor lose it with an executor, and plan
+    with its real size: a checkpoint keeps the estimate of its plan, which the
+    joins of an iteration multiply without end.  The folders are named by run
+    and stay until the shared folder is cleared.
+    """
+    path = f"{shared_dir(df.sparkSession)}/llm/step-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -55,7 +58,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     Each round takes the smallest root among a node's neighbours (pre-aggregated
     before the shuffle), then follows that root's own root, so stars settle in
     two rounds and chains in logarithmically many.  The rounds end when no root
-    changes; every round is checkpointed.
+    changes; every round is stored.
     """
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     both = cut_lineage(both.where("a <> b").distinct())
@@ -75,6 +78,20 @@ def connected_components(edges: DataFrame) -> DataFrame:
             return roots
 
 
+def local_roots(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """The smallest row connected to each of ``n`` rows by the pairs (left, right)."""
+    root = np.arange(n)
+    while True:
+        low = np.minimum(root[left], root[right])
+        new = root.copy()
+        np.minimum.at(new, left, low)
+        np.minimum.at(new, right, low)
+        new = new[new]
+        if (new == root).all():
+            return root
+        root = new
+
+
 def sampled_passages(chars: int, passages: int) -> Column:
     """Up to ``passages`` pieces of ``chars`` characters of ``text`` from places drawn by a hash of ``doc_id``."""
     room = F.greatest(F.length("text") - chars + 1, F.lit(1))

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from growthlens.llm.common import connected_components, cut_lineage
+from growthlens.llm.common import connected_components, cut_lineage, local_roots
 from growthlens.llm.vectors import matrix, rotation, rows_of, stacked, unit
 
 THRESHOLD = 0.93
@@ -64,20 +64,6 @@ def possible_links(bits: np.ndarray, factor: np.ndarray, other: np.ndarray, thre
     return estimate >= (threshold - error)[:, None].astype(np.float32)
 
 
-def local_roots(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """The smallest row connected to each of ``n`` rows by the pairs (left, right)."""
-    root = np.arange(n)
-    while True:
-        low = np.minimum(root[left], root[right])
-        new = root.copy()
-        np.minimum.at(new, left, low)
-        np.minimum.at(new, right, low)
-        new = new[new]
-        if (new == root).all():
-            return root
-        root = new
-
-
 _CODED = "vec_id long, label string, node binary, vector binary"
 _LINKS = "a binary, b binary, links long"
 

@@ -10,11 +10,20 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from growthlens.llm.common import connected_components, cut_lineage, text_slices
-from growthlens.llm.shingles import TABLE_BITS, Shingles, jaccard, mixed, weighted_shingles, word_hashes
+from growthlens.llm.common import connected_components, cut_lineage, local_roots, text_slices
+from growthlens.llm.shingles import (
+    TABLE_BITS,
+    Shingles,
+    jaccard,
+    jaccard_matrix,
+    mixed,
+    numbered_shingles,
+    weighted_shingles,
+    word_hashes,
+)
 
 THRESHOLD = 0.8
 # A pair at the threshold shares a band with probability 1 - (1 - 0.8^4)^14 = 0.9994.
@@ -83,7 +92,7 @@ def content_key(text: str) -> bytes | None:
 
 
 def inverse_frequencies(docs: DataFrame) -> np.ndarray:
-    """ln(1 + documents / documents with the word) by hashed word, over all of ``docs``.
+    """ln((1 + documents) / (1 + documents with the word)) + 1 by hashed word, over all of ``docs``.
 
     The table has 2^TABLE_BITS entries whatever the corpus: words that share an
     entry share its count.  Each task sums its own table before the shuffle.
@@ -104,7 +113,7 @@ def inverse_frequencies(docs: DataFrame) -> np.ndarray:
     counts = np.zeros((1 << TABLE_BITS) + 1)
     for entry, n in rows.collect():
         counts[entry] = n
-    return np.log1p(counts[-1] / np.maximum(counts[:-1], 1)).astype(np.float32)
+    return (np.log((1 + counts[-1]) / (1 + counts[:-1])) + 1).astype(np.float32)
 
 
 def _signed(docs: DataFrame, idf: Broadcast) -> DataFrame:
@@ -183,12 +192,14 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return joined.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select(*pairs.columns)
 
 
-def _cross_pairs(large: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:
-    """Agreeing pairs within large buckets that their hubs have not connected.
+def _cross_links(large: DataFrame, texts: DataFrame, roots: DataFrame, idf: Broadcast, threshold: float) -> DataFrame:
+    """Links within large buckets between nodes that are not in one component yet.
 
     ``large`` is (band, key, hub, node).  A bucket's members outside its hub's
-    component are dealt against all its members in blocks.  Pairs inside one
-    component need no comparison, so a group of copies around its hub costs nothing here.
+    component are dealt against all its members in blocks, and the weighted
+    Jaccard similarities of two blocks come from one product of matrices.  Pairs
+    inside the hub's component need no comparison, so a group of copies around
+    its hub costs nothing here.  A block pair returns a row per linked node.
     """
     root = roots.select(F.col("node").alias("of"), "root")
     member = large.join(root, F.col("node") == F.col("of"), "left").withColumn("root", F.coalesce("root", "node")).drop("of")
@@ -197,33 +208,32 @@ def _cross_pairs(large: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFr
     sizes = member.groupBy("band", "key").agg(
         F.ceil(F.count("*") / BLOCK_ROWS).alias("blocks"), F.ceil(F.count_if("out") / BLOCK_ROWS).alias("outer")
     )
-    dealt = member.join(sizes.where("outer > 0"), ["band", "key"]).join(nodes.select("node", "samples"), "node")
+    dealt = member.join(sizes.where("outer > 0"), ["band", "key"]).join(texts, "node")
     spread = F.xxhash64("node", "band")
 
-    def all_of(n: str):
+    def all_of(n: str) -> Column:
         return F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
 
-    columns = ["band", "key", "node", "root", "out", "samples"]
+    task = ["band", "key", "block", "outer"]
     right = dealt.withColumn("block", F.pmod(spread, F.col("blocks"))).withColumn("outer", all_of("outer"))
     left = dealt.where("out").withColumn("outer", F.pmod(spread, F.col("outer"))).withColumn("block", all_of("blocks"))
+    left = left.select(*[F.col(c).alias(f"o_{c}") for c in (*task, "node", "root", "text")])
 
     def compare(outer: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
-        a, b = [], []
-        if len(outer) and len(block):
-            x, y = np.stack(outer["samples"].tolist()), np.stack(block["samples"].tolist())
-            root_x, root_y = outer["root"].to_numpy(), block["root"].to_numpy()
-            for i in range(len(x)):
-                near = np.flatnonzero((x[i] == y).mean(axis=1) >= LEAST_AGREEMENT)
-                near = near[root_y[near] != root_x[i]]
-                a += [outer["node"].iat[i]] * len(near)
-                b += block["node"].iloc[near].tolist()
-        return pd.DataFrame({"a": a, "b": b})
-
-    return (
-        left.select(*columns, "block", "outer").groupBy("band", "key", "block", "outer")
-        .cogroup(right.select(*columns, "block", "outer").groupBy("band", "key", "block", "outer"))
-        .applyInPandas(compare, "a binary, b binary")
-    )
+        if not len(outer) or not len(block):
+            return pd.DataFrame({"a": [], "b": []})
+        one = numbered_shingles(*word_hashes(outer["o_text"].tolist()), idf.value)
+        two = numbered_shingles(*word_hashes(block["text"].tolist()), idf.value)
+        linked = jaccard_matrix(one, two, len(outer), len(block)) >= threshold
+        linked &= outer["o_root"].to_numpy()[:, None] != block["root"].to_numpy()[None, :]
+        i, j = np.nonzero(linked)
+        node = np.r_[outer["o_node"].to_numpy(), block["node"].to_numpy()]
+        tied = local_roots(len(node), i, j + len(outer))
+        some = np.unique(np.r_[i, j + len(outer)])
+        return pd.DataFrame({"a": node[some], "b": node[tied[some]]})
+
+    found = left.groupBy(*[f"o_{c}" for c in task]).cogroup(right.select(*task, "node", "root", "text").groupBy(*task))
+    return found.applyInPandas(compare, "a binary, b binary")
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -280,9 +290,8 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     links = cut_lineage(links.unionByName(_verified(rest, texts, idf, threshold)))
     roots = connected_components(links)
     if not large.isEmpty():
-        cross = _cross_pairs(large.select("band", "key", "hub", "node"), nodes, roots)
-        cross = cross.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        links = cut_lineage(links.unionByName(_verified(cross.join(pairs, ["a", "b"], "left_anti"), texts, idf, threshold)))
+        cross = _cross_links(large.select("band", "key", "hub", "node"), texts, roots, idf, threshold)
+        links = links.unionByName(cross.where("a <> b"))
         roots = connected_components(links)
 
     classes = nodes.select("node", "first_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))

@@ -63,18 +63,18 @@ class Shingles:
     weight: np.ndarray
 
 
-def weighted_shingles(words: np.ndarray, sizes: np.ndarray, idf: np.ndarray) -> Shingles:
-    """Term frequency of each shingle of five words times the mean inverse document frequency of its words.
+def _occurrences(words: np.ndarray, sizes: np.ndarray, idf: np.ndarray) -> Shingles:
+    """Every occurrence of a shingle of five words, with the mean inverse document frequency of its words.
 
-    A text of fewer words is one shingle; a text without words has none.
+    Sorted by text and shingle.  A text of fewer words is one shingle; a text
+    without words has none.
     """
     n = len(words)
     starts = np.cumsum(sizes) - sizes
     owner = np.repeat(np.arange(len(sizes)), sizes)
     place = np.arange(n) - starts[owner]
     count = np.minimum(sizes, WORDS)[owner]
-    first = place <= np.maximum(sizes - WORDS, 0)[owner]
-    at = np.flatnonzero(first)
+    at = np.flatnonzero(place <= np.maximum(sizes - WORDS, 0)[owner])
     key = np.zeros(len(at), np.uint64)
     weight = np.zeros(len(at), np.float64)
     word_idf = idf[(words & np.uint64(len(idf) - 1)).astype(np.int64)]
@@ -84,12 +84,54 @@ def weighted_shingles(words: np.ndarray, sizes: np.ndarray, idf: np.ndarray) ->
         key = np.where(has, mixed(key * _BASE + w + np.uint64(k)), key)
         weight += np.where(has, word_idf[np.minimum(at + k, n - 1)], 0)
     weight /= count[at]
-    owner = owner[at]
-    order = np.lexsort((key, owner))
-    owner, key, weight = owner[order], key[order], weight[order]
-    new = np.flatnonzero(np.r_[True, (owner[1:] != owner[:-1]) | (key[1:] != key[:-1])]) if len(at) else at
-    times = np.diff(np.r_[new, len(key)])
-    return Shingles(owner[new], key[new], (weight[new] * times).astype(np.float32))
+    order = np.lexsort((key, owner[at]))
+    return Shingles(owner[at][order], key[order], weight[order].astype(np.float32))
+
+
+def _first_of_runs(s: Shingles) -> np.ndarray:
+    if not len(s.key):
+        return np.empty(0, np.int64)
+    return np.flatnonzero(np.r_[True, (s.text[1:] != s.text[:-1]) | (s.key[1:] != s.key[:-1])])
+
+
+def weighted_shingles(words: np.ndarray, sizes: np.ndarray, idf: np.ndarray) -> Shingles:
+    """Distinct shingles of each text; weight is term frequency times inverse document frequency."""
+    every = _occurrences(words, sizes, idf)
+    new = _first_of_runs(every)
+    times = np.diff(np.r_[new, len(every.key)]).astype(np.float32)
+    return Shingles(every.text[new], every.key[new], every.weight[new] * times)
+
+
+def numbered_shingles(words: np.ndarray, sizes: np.ndarray, idf: np.ndarray) -> Shingles:
+    """All occurrences, the n-th of a shingle in a text being an item of its own.
+
+    Over such items a weighted Jaccard similarity is that of plain sets with
+    item weights, for the minimum of two term frequencies counts the numbers both reach.
+    """
+    every = _occurrences(words, sizes, idf)
+    new = _first_of_runs(every)
+    times = np.diff(np.r_[new, len(every.key)])
+    number = np.arange(len(every.key)) - np.repeat(new, times)
+    return Shingles(every.text, mixed(every.key + number.astype(np.uint64) * _BASE), every.weight)
+
+
+def jaccard_matrix(a: Shingles, b: Shingles, rows: int, columns: int, step: int = 4096) -> np.ndarray:
+    """Weighted Jaccard similarity of every text of ``a`` with every text of ``b``, from numbered shingles."""
+    common = np.intersect1d(a.key, b.key)
+    shared = np.zeros((rows, columns))
+    if len(common):
+        one, two = ((np.minimum(np.searchsorted(common, s.key), len(common) - 1), s) for s in (a, b))
+        one, two = ((at, s, common[at] == s.key) for at, s in (one, two))
+        for start in range(0, len(common), step):
+            parts = []
+            for (at, s, hit), n in ((one, rows), (two, columns)):
+                use = hit & (at >= start) & (at < start + step)
+                part = np.zeros((n, min(step, len(common) - start)), np.float32)
+                part[s.text[use], at[use] - start] = s.weight[use] if not parts else 1
+                parts.append(part)
+            shared += parts[0] @ parts[1].T
+    total = np.bincount(a.text, a.weight, rows)[:, None] + np.bincount(b.text, b.weight, columns)[None, :]
+    return shared / np.maximum(total - shared, 1e-12)
 
 
 def jaccard(a: Shingles, b: Shingles, pairs: int) -> np.ndarray:
