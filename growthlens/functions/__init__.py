@@ -1,11 +1,10 @@
 from growthlens.functions.columns import (
     EXACT_SUM,
-    MONEY,
     exact_avg,
     exact_sum,
     flag,
-    money,
-    money_or_zero,
+    double_or_zero,
+    strict_date,
     or_zero,
     pct_change,
     position_bucket,
@@ -15,12 +14,11 @@ from growthlens.functions.columns import (
 
 __all__ = [
     "EXACT_SUM",
-    "MONEY",
     "exact_avg",
     "exact_sum",
     "flag",
-    "money",
-    "money_or_zero",
+    "double_or_zero",
+    "strict_date",
     "or_zero",
     "pct_change",
     "position_bucket",

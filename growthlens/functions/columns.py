@@ -14,11 +14,12 @@ from pyspark.sql.types import DecimalType
 
 ColumnOrName = Column | str
 
-# Money is held as an exact decimal so sums do not depend on partitioning or
-# row order; it is turned into a double only at the edge of a mart.
-MONEY = DecimalType(18, 2)
-# Scale used to add up non-money doubles exactly (e.g. search positions).
-EXACT_SUM = DecimalType(28, 9)
+# Amounts and positions stay doubles, as they are reported; they are added up
+# through a wide decimal, so a sum does not depend on partitioning or row order
+# and no amount is rounded.
+EXACT_SUM = DecimalType(38, 18)
+# Values beyond this size (and NaN and infinities) are added as plain doubles.
+_EXACT_LIMIT = 1e15
 
 # Search-position buckets (inclusive upper bounds) and their labels.
 POSITION_BOUNDS = (3, 10, 20)
@@ -44,24 +45,34 @@ def or_zero(c: ColumnOrName) -> Column:
     return F.coalesce(_c(c), F.lit(0))
 
 
-def money(c: ColumnOrName) -> Column:
-    """Amount as exact decimal(18,2)."""
-    return _c(c).cast(MONEY)
+def double_or_zero(c: ColumnOrName) -> Column:
+    """NULL amount -> 0.0; the amount itself is kept as it is."""
+    return F.coalesce(_c(c).cast("double"), F.lit(0.0))
 
 
-def money_or_zero(c: ColumnOrName) -> Column:
-    """NULL amount -> 0.00 as exact decimal(18,2)."""
-    return F.coalesce(_c(c).cast(MONEY), F.lit(0).cast(MONEY))
+def strict_date(c: ColumnOrName) -> Column:
+    """Text to date; a text that is no date raises, whatever the session's ANSI mode."""
+    text = _c(c)
+    bad = F.raise_error(F.concat(F.lit("not a date: "), text.cast("string"))).cast("date")
+    return F.coalesce(text.try_cast("date"), F.when(text.isNotNull(), bad))
 
 
-def exact_sum(c: ColumnOrName, scale_type: DecimalType = MONEY) -> Column:
-    """Sum a double column through a decimal so the result is order independent."""
-    return F.sum(_c(c).cast(scale_type)).cast("double")
+def exact_sum(c: ColumnOrName) -> Column:
+    """Sum of a double column through a wide decimal: independent of the order of rows.
+
+    Values that the decimal cannot hold (NaN, infinities, beyond 1e15) are added as
+    doubles, so NaN and infinities propagate.
+    """
+    value = _c(c).cast("double")
+    fits = F.abs(value) < F.lit(_EXACT_LIMIT)
+    exact = F.sum(F.when(fits, value).try_cast(EXACT_SUM)).cast("double")
+    rest = F.sum(F.when(~fits, value))
+    return F.coalesce(rest + F.coalesce(exact, F.lit(0.0)), exact)
 
 
-def exact_avg(c: ColumnOrName, scale_type: DecimalType = EXACT_SUM) -> Column:
+def exact_avg(c: ColumnOrName) -> Column:
     """Unweighted mean of a double column, summed exactly, NULLs skipped."""
-    return F.try_divide(F.sum(_c(c).cast(scale_type)).cast("double"), F.count(_c(c)).cast("double"))
+    return F.try_divide(exact_sum(c), F.count(_c(c)).cast("double"))
 
 
 def flag(c: ColumnOrName, value: str) -> Column:
@@ -89,15 +100,37 @@ def week_start(d: ColumnOrName) -> Column:
     return F.date_trunc("week", _c(d)).cast("date")
 
 
+def _round_exact_tenth(x: Column) -> Column:
+    """The double next to ``x`` rounded to tenths.
+
+    ``x * 10`` may itself round up to a tie, so its rounding error is recovered
+    (both halves of ``x`` times 10 are exact) and decides where the product
+    says "half"; only an error of 0 is a true tie and goes to the even tenth.
+    """
+    ten = F.lit(10.0)
+    product = x * ten
+    wide = x * F.lit(134217729.0)
+    high = wide - (wide - x)
+    error = (high * ten - product) + (x - high) * ten
+    low = F.floor(product).cast("double")
+    rest = product - low
+    half = rest == F.lit(0.5)
+    odd = F.pmod(low, F.lit(2.0)) == F.lit(1.0)
+    up = (rest > F.lit(0.5)) | (half & (error > 0)) | (half & (error == 0) & odd)
+    tenth = (low + F.when(up, F.lit(1.0)).otherwise(F.lit(0.0))) / ten
+    return F.when(F.abs(x) < F.lit(2.0**48), tenth).otherwise(x)
+
+
 def pct_change(new: ColumnOrName, old: ColumnOrName) -> Column:
-    """Percent change rounded half-even to 1 decimal; 0 when ``old`` is 0.
+    """Percent change rounded to 1 decimal; 0 when ``old`` is 0.
 
+    The exact binary value is rounded, half-even only where it is a tie.
     Inputs are expected to be NULL-free already (missing KPIs count as 0).
     A small negative change keeps its sign when it rounds to zero (``-0.0``),
     as float rounding does.
     """
     new_c, old_c = _c(new).cast("double"), _c(old).cast("double")
     raw = F.try_divide(new_c - old_c, old_c) * F.lit(100.0)
-    rounded = F.bround(raw, 1)
+    rounded = _round_exact_tenth(raw)
     signed = F.when((rounded == F.lit(0.0)) & (raw < F.lit(0.0)), F.lit(-0.0)).otherwise(rounded)
     return F.when(old_c == F.lit(0.0), F.lit(0.0)).otherwise(signed)

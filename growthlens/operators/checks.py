@@ -15,7 +15,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 col = F.col
@@ -73,7 +73,7 @@ def run_checks(
     checks: Sequence[Check] | None = None,
 ) -> DataFrame:
     """One row per check: (model, column_name, test, failures, passed)."""
-    selected = [c for c in (checks or default_checks()) if c.kind in kinds]
+    selected = [c for c in (default_checks() if checks is None else checks) if c.kind in kinds]
     parts = []
     for model in dict.fromkeys(c.model for c in selected):
         mine = [c for c in selected if c.model == model]
@@ -90,6 +90,9 @@ def run_checks(
             ]
         )
         parts.append(counts.select(F.inline(rows)))
+    if not parts:
+        spark = SparkSession.active()
+        return spark.createDataFrame([], "model string, column_name string, test string, failures bigint, passed boolean")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from growthlens.functions import exact_sum, ratio
+from growthlens.functions import exact_avg, exact_sum, ratio
 from growthlens.operators.marts import AVG_ORDER_VALUE, FUNNEL_COUNTS
 
 col = F.col
@@ -84,7 +84,7 @@ def revenue_by_channel(mart_revenue: DataFrame) -> DataFrame:
         F.sum("estimated_revenue_eur").alias("estimated_revenue_eur"),
         F.sum("estimated_mrr_eur").alias("estimated_mrr_eur"),
         F.sum("estimated_ltv_eur").alias("estimated_ltv_eur"),
-        F.round(F.avg("cac_payback_months"), 4).alias("avg_cac_payback_months"),
+        exact_avg("cac_payback_months").alias("avg_cac_payback_months"),
     )
     cac = ratio("total_spend", "total_conversions")
     return totals.select(

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from growthlens.functions import flag, money_or_zero, or_zero, position_bucket, ratio
+from growthlens.functions import double_or_zero, flag, or_zero, position_bucket, ratio, strict_date
 
 col = F.col
 
@@ -34,13 +34,13 @@ def clean_meta_ads(raw: DataFrame) -> DataFrame:
     return raw.where(col("date").isNotNull() & ~no_activity).select(
         "campaign_id",
         "campaign_name",
-        money_or_zero("spend").alias("spend_eur"),
+        double_or_zero("spend").alias("spend_eur"),
         or_zero("impressions").alias("impressions"),
         or_zero("clicks").alias("clicks"),
         or_zero("conversions").alias("conversions"),
         ratio("clicks", "impressions").alias("ctr"),
         ratio("conversions", "clicks").alias("conversion_rate"),
-        col("date").cast("date").alias("date"),
+        strict_date("date").alias("date"),
         "loaded_at",
     )
 
@@ -52,13 +52,13 @@ def clean_google_ads(raw: DataFrame) -> DataFrame:
         "keyword",
         or_zero("clicks").alias("clicks"),
         or_zero("impressions").alias("impressions"),
-        money_or_zero("cost").alias("cost_eur"),
+        double_or_zero("cost").alias("cost_eur"),
         or_zero("conversions").alias("conversions"),
         or_zero("quality_score").alias("quality_score"),
         ratio("clicks", "impressions").alias("ctr"),
         ratio("cost", "clicks").alias("cost_per_click"),
         ratio("conversions", "clicks").alias("conversion_rate"),
-        col("date").cast("date").alias("date"),
+        strict_date("date").alias("date"),
         "loaded_at",
     )
 
@@ -79,7 +79,7 @@ def clean_ga4(raw: DataFrame) -> DataFrame:
         or_zero("avg_session_duration").alias("avg_session_duration_seconds"),
         (or_zero("users") - or_zero("new_users")).alias("returning_users"),
         ratio("new_users", "users").alias("new_user_rate"),
-        col("date").cast("date").alias("date"),
+        strict_date("date").alias("date"),
         "loaded_at",
     )
 
@@ -97,7 +97,7 @@ def clean_gsc(raw: DataFrame) -> DataFrame:
         or_zero("ctr").alias("ctr"),
         or_zero("position").alias("avg_position"),
         position_bucket("position").alias("position_bucket"),
-        col("date").cast("date").alias("date"),
+        strict_date("date").alias("date"),
         "loaded_at",
     )
 
@@ -116,7 +116,7 @@ def clean_brevo(raw: DataFrame) -> DataFrame:
         ratio("clicks", "sent").alias("click_rate"),
         ratio("clicks", "opens").alias("click_to_open_rate"),
         ratio("unsubscribes", "sent").alias("unsubscribe_rate"),
-        col("date").cast("date").alias("date"),
+        strict_date("date").alias("date"),
         "loaded_at",
     )
 
@@ -137,7 +137,7 @@ def clean_posthog(raw: DataFrame) -> DataFrame:
         flag("event", ACTIVATION_EVENT).alias("is_activation"),
         flag("event", PURCHASE_EVENT).alias("is_purchase"),
         flag("event", CHURN_EVENT).alias("is_churn"),
-        col("timestamp").cast("date").alias("event_date"),
+        strict_date("timestamp").alias("event_date"),
         "loaded_at",
     )
 

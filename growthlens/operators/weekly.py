@@ -20,7 +20,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from growthlens.functions import money, pct_change, week_start
+from growthlens.functions import exact_avg, exact_sum, pct_change, week_start
 
 col = F.col
 
@@ -34,7 +34,7 @@ NEUTRAL = "neutral"
 
 # KPI -> (family, source column in the tagged union, aggregate kind, scale,
 # decimals, output type).  "avg" = SQL-rounded mean of daily values, "sum" =
-# integer total, "money" = exact decimal total rounded to cents.
+# integer total, "money" = exact total rounded to cents.
 KPI_SPECS: dict[str, tuple[str, str, str, float, int, str]] = {
     "avg_cac": (ACQUISITION_FAMILY, "cac", "avg", 1.0, 2, "double"),
     "avg_roas": (ACQUISITION_FAMILY, "roas", "avg", 1.0, 2, "double"),
@@ -78,10 +78,10 @@ def _kpi_agg(kpi: str, only: Column | None = None) -> Column:
     _, source, kind, scale, digits, dtype = KPI_SPECS[kpi]
     value = col(source) if only is None else F.when(only, col(source))
     if kind == "avg":
-        mean = F.avg(value)
+        mean = exact_avg(value)
         agg = F.round(mean if scale == 1.0 else mean * F.lit(scale), digits)
     elif kind == "money":
-        agg = F.round(F.sum(value).cast("double"), digits)
+        agg = F.round(exact_sum(value), digits)
     else:
         agg = F.sum(value)
     return agg.cast(dtype)
@@ -92,8 +92,7 @@ def _arm(mart: DataFrame, cols: dict[str, str], start: dt.date | None = None, en
         mart = mart.where(col("date").between(F.lit(start), F.lit(end)))
     exprs = [week_start("date").alias("week_start")]
     for out, src in cols.items():
-        c = money(src) if out == "spend" else col(src)
-        exprs.append(c.alias(out))
+        exprs.append(col(src).alias(out))
     return mart.select(*exprs)
 
 
@@ -172,10 +171,11 @@ def weekly_comparison(
     aggregation by ``week_start`` yields both sides.  Weeks are those with
     rows of their own (or just the ``as_of`` week).
     """
-    union = _kpi_union(mart_acquisition, mart_activation, mart_referral)
-    if as_of is not None:
+    if as_of is None:
+        union = _kpi_union(mart_acquisition, mart_activation, mart_referral)
+    else:
         start, end = week_bounds(as_of)
-        union = union.where(col("week_start").between(F.lit(start - dt.timedelta(days=7)), F.lit(start)))
+        union = _kpi_union(mart_acquisition, mart_activation, mart_referral, start - dt.timedelta(days=7), end)
     shift = F.explode(F.array(F.lit(0), F.lit(7))).alias("shift")
     both = union.select("*", shift).withColumn("week_start", F.date_add("week_start", col("shift")))
     current = col("shift") == 0

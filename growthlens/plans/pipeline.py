@@ -47,6 +47,7 @@ def build_warehouse(
     feeds: Mapping[str, DataFrame],
     root: str | None = None,
     partition_events_by_date: bool = False,
+    fail_on_checks: bool = False,
     **mart_params,
 ) -> dict[str, str]:
     """Build and store every relation; returns ``name -> path``.
@@ -54,7 +55,9 @@ def build_warehouse(
     ``feeds`` maps raw feed names (``meta_ads_raw`` ...) to DataFrames, e.g.
     from ``sources.read_feed`` or ``sources.feeds_from_testdata``.  ``mart_params``
     are passed to the revenue mart (``avg_order_value``, ``monthly_price``,
-    ``lifetime_months``, ``channel_map``).
+    ``lifetime_months``, ``channel_map``).  ``fail_on_checks`` stops the build
+    before the dashboards if a data check finds failing rows (one result row per
+    check is looked at).
     """
     root = (root or f"{shared_dir(spark)}/growthlens/warehouse").rstrip("/")
     paths: dict[str, str] = {}
@@ -63,6 +66,7 @@ def build_warehouse(
         paths[name] = f"{root}/{layer}/{name}"
         return _store(spark, df, paths[name], partition_by)
 
+    order_value = {k: v for k, v in mart_params.items() if k == "avg_order_value"}
     stg = staging.clean_all(dict(feeds))
     if partition_events_by_date:
         clustered = stg["stg_posthog"].repartitionByRange("event_date", "user_id", "event_id")
@@ -73,7 +77,7 @@ def build_warehouse(
     counts = store("funnel_counts", marts.daily_funnel_counts(events), "intermediate")
     user_days = store("user_days", marts.user_active_days(events, with_signup_flag=True), "intermediate")
 
-    acq = store("mart_acquisition", marts.acquisition(stg["stg_meta_ads"], stg["stg_google_ads"]), "marts")
+    acq = store("mart_acquisition", marts.acquisition(stg["stg_meta_ads"], stg["stg_google_ads"], **order_value), "marts")
     act = store("mart_activation", marts.activation(funnel_counts=counts), "marts")
     ret = store("mart_retention", marts.retention(user_days=user_days), "marts")
     rev = store("mart_revenue", marts.unit_economics(acq, funnel_counts=counts, **mart_params), "marts")
@@ -90,11 +94,15 @@ def build_warehouse(
         "mart_revenue": rev,
         "mart_referral": ref,
     }
-    store("data_checks", checks.run_checks(stored_marts), "checks")
+    results = store("data_checks", checks.run_checks(stored_marts), "checks")
+    if fail_on_checks:
+        failed = [f"{r.model}.{r.column_name} {r.test}: {r.failures} rows" for r in results.where("not passed").collect()]
+        if failed:
+            raise ValueError("data checks failed: " + "; ".join(failed))
 
     dashboards = {
         "exec_overview_daily": serving.exec_overview_daily(acq),
-        "channel_cac": serving.channel_cac(acq),
+        "channel_cac": serving.channel_cac(acq, **order_value),
         "retention_milestones": serving.retention_milestones(ret),
         "revenue_by_channel": serving.revenue_by_channel(rev),
         "referral_trend": serving.referral_trend(ref),

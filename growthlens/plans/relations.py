@@ -9,6 +9,7 @@ temporary views for SQL users, the way staging models are views.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterable, Mapping
 from functools import cached_property
 
@@ -16,6 +17,10 @@ from pyspark.sql import DataFrame
 
 from growthlens.operators import checks, marts, serving, staging, weekly
 
+# Days of the registered single-week reports.
+AS_OF = dt.date(2024, 3, 6)
+AS_OF_EMPTY = dt.date(2021, 5, 5)
+
 STAGING_NAMES = ("stg_meta_ads", "stg_google_ads", "stg_ga4", "stg_gsc", "stg_brevo", "stg_posthog")
 MART_NAMES = ("mart_acquisition", "mart_activation", "mart_retention", "mart_revenue", "mart_referral")
 WEEKLY_NAMES = (
@@ -26,6 +31,11 @@ WEEKLY_NAMES = (
     "weekly_delta",
     "weekly_kpi_long",
     "weekly_brief",
+    "weekly_kpis_as_of",
+    "weekly_kpis_offset",
+    "weekly_delta_as_of",
+    "weekly_brief_as_of",
+    "weekly_brief_empty_week",
 )
 CHECK_NAMES = ("dq_not_null", "dq_accepted_values", "dq_expect_no_rows", "data_checks")
 SERVING_NAMES = (
@@ -37,6 +47,10 @@ SERVING_NAMES = (
     "funnel_daily",
     "email_campaign_summary",
     "serving_sorted",
+    "serving_sorted_activation",
+    "serving_sorted_retention",
+    "serving_sorted_revenue",
+    "serving_sorted_referral",
 )
 ALL_NAMES = STAGING_NAMES + MART_NAMES + WEEKLY_NAMES + CHECK_NAMES + SERVING_NAMES
 
@@ -68,6 +82,10 @@ class Relations:
         self._feeds = dict(feeds or {})
         self.mart_params = mart_params
 
+    def _order_value(self) -> dict:
+        """The one order value that every ROAS uses, if it was given."""
+        return {k: v for k, v in self.mart_params.items() if k == "avg_order_value"}
+
     def raw(self, name: str) -> DataFrame:
         if name not in self._feeds:
             raise KeyError(f"feed {name!r} is needed but was not given (have: {sorted(self._feeds)})")
@@ -101,7 +119,7 @@ class Relations:
     # marts ----------------------------------------------------------------
     @cached_property
     def mart_acquisition(self) -> DataFrame:
-        return marts.acquisition(self.stg_meta_ads, self.stg_google_ads)
+        return marts.acquisition(self.stg_meta_ads, self.stg_google_ads, **self._order_value())
 
     @cached_property
     def mart_activation(self) -> DataFrame:
@@ -148,6 +166,27 @@ class Relations:
     def weekly_brief(self) -> DataFrame:
         return weekly.weekly_brief(self.mart_acquisition, self.mart_activation, self.mart_referral)
 
+    # one week of the report; the fixed dates lie in, before and behind the data
+    @cached_property
+    def weekly_kpis_as_of(self) -> DataFrame:
+        return weekly.weekly_kpis(self.mart_acquisition, self.mart_activation, self.mart_referral, AS_OF)
+
+    @cached_property
+    def weekly_kpis_offset(self) -> DataFrame:
+        return weekly.weekly_kpis(self.mart_acquisition, self.mart_activation, self.mart_referral, AS_OF, 2)
+
+    @cached_property
+    def weekly_delta_as_of(self) -> DataFrame:
+        return weekly.weekly_delta(self.mart_acquisition, self.mart_activation, self.mart_referral, AS_OF)
+
+    @cached_property
+    def weekly_brief_as_of(self) -> DataFrame:
+        return weekly.weekly_brief(self.mart_acquisition, self.mart_activation, self.mart_referral, AS_OF)
+
+    @cached_property
+    def weekly_brief_empty_week(self) -> DataFrame:
+        return weekly.weekly_brief(self.mart_acquisition, self.mart_activation, self.mart_referral, AS_OF_EMPTY)
+
     # checks -----------------------------------------------------------------
     def _marts(self) -> Mapping[str, DataFrame]:
         """The five marts, built only when a check asks for one."""
@@ -176,7 +215,7 @@ class Relations:
 
     @cached_property
     def channel_cac(self) -> DataFrame:
-        return serving.channel_cac(self.mart_acquisition)
+        return serving.channel_cac(self.mart_acquisition, **self._order_value())
 
     @cached_property
     def retention_milestones(self) -> DataFrame:
@@ -202,6 +241,22 @@ class Relations:
     def serving_sorted(self) -> DataFrame:
         return serving.ordered("mart_acquisition", self.mart_acquisition)
 
+    @cached_property
+    def serving_sorted_activation(self) -> DataFrame:
+        return serving.ordered("mart_activation", self.mart_activation)
+
+    @cached_property
+    def serving_sorted_retention(self) -> DataFrame:
+        return serving.ordered("mart_retention", self.mart_retention)
+
+    @cached_property
+    def serving_sorted_revenue(self) -> DataFrame:
+        return serving.ordered("mart_revenue", self.mart_revenue)
+
+    @cached_property
+    def serving_sorted_referral(self) -> DataFrame:
+        return serving.ordered("mart_referral", self.mart_referral)
+
     def register_views(self, names: Iterable[str] = STAGING_NAMES + MART_NAMES) -> list[str]:
         """Expose relations as temporary views (lazy: re-planned on each query)."""
         names = list(names)

@@ -36,7 +36,7 @@ def build_session(
     shuffle_partitions: int | None = None,
     extra_conf: dict[str, str] | None = None,
 ) -> SparkSession:
-    """Create (or reuse) a session with growthlens' SQL settings.
+    """Create a session with growthlens' SQL settings; an active session is returned as it is.
 
     ``master`` and ``shuffle_partitions`` are for local runs; on a cluster leave
     them unset so the platform's values apply.
@@ -51,9 +51,10 @@ def build_session(
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in {**_STATIC_CONF, **_SQL_CONF, **(extra_conf or {})}.items():
         builder = builder.config(key, value)
+    existing = SparkSession.getActiveSession()
+    if existing is not None:
+        return existing  # its settings belong to whoever created it
     spark = builder.getOrCreate()
-    for key, value in _SQL_CONF.items():
-        spark.conf.set(key, value)
     spark.sparkContext.setLogLevel("WARN")
     return spark
 

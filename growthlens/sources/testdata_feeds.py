@@ -67,14 +67,14 @@ TABLE_SCHEMAS = {
 LOADED_AT = "'2024-02-01T00:00:00'"
 AD_DATE = (
     "case when l_orderkey % 97 = 0 then null "
-    "else cast(date '2023-12-31' + cast(l_orderkey % 31 as int) as string) end"
+    "else cast(date '2023-12-31' + cast(l_orderkey % 31 + 35 * (l_partkey % 12) as int) as string) end"
 )
 
 FEED_SQL: dict[str, tuple[str, str | None, dict[str, str]]] = {
     "meta_ads_raw": ("lineitem", "l_linestatus = 'F'", {
         "campaign_id": "'meta_'||cast(l_orderkey as string)||'_'||cast(l_partkey as string)||'_'||cast(l_linenumber as string)",
         "campaign_name": "case l_returnflag when 'R' then 'retargeting_q1' when 'N' then 'brand_awareness_q1' else 'lead_gen_q2' end",
-        "spend": "case when l_partkey % 23 = 0 then null else cast(cast(floor(l_extendedprice*l_discount) as bigint) as double)/100 end",
+        "spend": "case when l_partkey % 23 = 0 then null else cast(cast(floor(l_extendedprice*l_discount) as bigint) as double)/10000 end",
         "impressions": "case when l_partkey % 20 = 0 then 0 when l_partkey % 29 = 0 then null else cast(l_quantity as bigint)*100 end",
         "clicks": "nullif(l_partkey % 50, 49)",
         "conversions": "nullif(l_suppkey % 7, 6)",
@@ -86,7 +86,7 @@ FEED_SQL: dict[str, tuple[str, str | None, dict[str, str]]] = {
         "keyword": "'keyword_'||cast(l_partkey % 5 as string)",
         "clicks": "nullif(l_partkey % 50, 49)",
         "impressions": "cast(l_quantity as bigint)*50",
-        "cost": "cast(cast(floor(l_extendedprice) as bigint) as double)/100",
+        "cost": "cast(cast(floor(l_extendedprice) as bigint) as double)/10000",
         "conversions": "case when l_orderkey % 31 = 30 then 0 else nullif(l_suppkey % 5, 4) end",
         "quality_score": "4 + l_linenumber % 7",
         "date": AD_DATE,
@@ -105,16 +105,16 @@ FEED_SQL: dict[str, tuple[str, str | None, dict[str, str]]] = {
         "bounce_rate": "cast(o_custkey % 100 as double)/100",
         "pages_per_session": "cast(15 + o_orderkey % 45 as double)/10",
         "avg_session_duration": "30 + o_custkey % 270",
-        "date": "cast(date '2024-01-01' + cast(o_orderkey % 31 as int) as string)",
+        "date": "cast(date '2024-01-01' + cast(o_orderkey % 31 + 35 * (o_custkey % 12) as int) as string)",
         "loaded_at": LOADED_AT,
     }),
-    "gsc_raw": ("lineitem", "l_returnflag = 'A'", {
+    "gsc_raw": ("lineitem", None, {
         "query": "'query_'||cast(l_partkey % 6 as string)",
         "impressions": "case when l_partkey % 13 = 0 then 0 else cast(l_quantity as bigint)*10 end",
         "clicks": "nullif(l_partkey % 9, 8)",
         "ctr": "cast(l_partkey % 15 as double)/100",
-        "position": "case when l_suppkey % 10 = 9 then null else cast(l_partkey % 400 as double)/10 end",
-        "date": "cast(date '2024-01-01' + cast(l_orderkey % 28 as int) as string)",
+        "position": "case when l_suppkey % 10 = 9 then null else cast(l_partkey % 400 as double)/7 end",
+        "date": "cast(date '2024-01-01' + cast(l_orderkey % 28 + 30 * (l_suppkey % 12) as int) as string)",
         "loaded_at": LOADED_AT,
     }),
     "brevo_raw": ("orders", None, {
@@ -128,7 +128,7 @@ FEED_SQL: dict[str, tuple[str, str | None, dict[str, str]]] = {
         "clicks": "o_custkey % 40",
         "unsubscribes": "nullif(o_custkey % 20, 0)",
         "bounces": "o_custkey % 50",
-        "date": "cast(date '2024-01-01' + cast(7 * (o_orderkey % 5) as int) as string)",
+        "date": "cast(date '2024-01-01' + cast(7 * (o_orderkey % 5) + 35 * (o_custkey % 11) as int) as string)",
         "loaded_at": LOADED_AT,
     }),
     "posthog_raw": ("events", None, {
@@ -143,7 +143,7 @@ FEED_SQL: dict[str, tuple[str, str | None, dict[str, str]]] = {
             "when 3 then 'google_display' when 4 then 'email' when 5 then 'organic' when 6 then 'meta' else 'google' end"
         ),
         "country": "case user_id % 5 when 0 then 'IE' when 1 then 'GB' when 2 then 'US' when 3 then 'IN' else 'DE' end",
-        "timestamp": "cast(cast(ts as date) + cast(user_id % 7 as int) as string)",
+        "timestamp": "cast(cast(ts as date) + cast(user_id % 7 + 40 * (event_id % 3) as int) as string)",
         "loaded_at": LOADED_AT,
     }),
 }
@@ -178,7 +178,6 @@ gsc_raw = _builder("gsc_raw")
 brevo_raw = _builder("brevo_raw")
 posthog_raw = _builder("posthog_raw")
 
-FEED_BUILDERS = {name: _builder(name) for name in FEED_SQL}
 
 
 def feeds_from_testdata(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

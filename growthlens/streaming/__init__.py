@@ -1,8 +1,7 @@
 from growthlens.streaming.events import (
     clean_event_stream,
-    funnel_counts_stream,
     start_event_cleaning,
     start_funnel_counts,
 )
 
-__all__ = ["clean_event_stream", "funnel_counts_stream", "start_event_cleaning", "start_funnel_counts"]
+__all__ = ["clean_event_stream", "start_event_cleaning", "start_funnel_counts"]

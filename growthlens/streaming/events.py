@@ -3,11 +3,11 @@
 The event cleaner is stateless, so the batch function runs unchanged on a
 streaming DataFrame; ``start_event_cleaning`` appends newly arrived raw event
 files, cleaned, to a date-partitioned table (the file sink's commit log makes
-the append exactly-once across restarts).  The daily funnel counts (the
-activation mart's input) become a watermarked event-time aggregation per day
-and channel, emitted in append mode once the watermark passes the day, with
-state kept in the checkpoint folder so a restarted query resumes where it
-stopped.
+the append exactly-once across restarts).  ``start_funnel_counts`` keeps the
+daily funnel counts (the activation mart's input) equal to the batch result at
+all times: each micro-batch is stored, and the days it touches are counted
+anew from all stored events and replaced.  There is no watermark, so nothing
+is dropped as late and the newest days are present.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from growthlens.operators.marts import daily_funnel_counts
 from growthlens.operators.staging import clean_posthog
 from growthlens.sources.schemas import POSTHOG_RAW
 
@@ -30,32 +31,24 @@ def clean_event_stream(spark: SparkSession, raw_dir: str, max_files_per_trigger:
     return clean_posthog(reader.load(raw_dir))
 
 
-def funnel_counts_stream(clean_events: DataFrame, late_data: str = "2 days") -> DataFrame:
-    """Per (date, channel) funnel counts; a day is final once the watermark passes it.
+def store_batch(events: DataFrame, batch_id: int, events_dir: str) -> None:
+    """Stores the cleaned events of a micro-batch under its own id, replacing an earlier attempt at it.
 
-    The event time of a row is the start of its day, and the day itself is the
-    grouping key (no window function): a window is aligned to UTC days, so in a
-    session time zone other than UTC its start would fall on the previous local
-    date.  A day's row is emitted once the watermark (latest day seen minus
-    ``late_data``) has passed the day; rows for an emitted day are dropped as late.
+    Rows are clustered by day first, so a batch writes a few files per day at
+    most; a large day is split by the adaptive rebalance.
     """
-    timed = clean_events.withColumn("day_start", col("event_date").cast("timestamp")).withWatermark(
-        "day_start", late_data
-    )
-    counts = timed.groupBy("day_start", "channel").agg(
-        F.count_if("is_signup").alias("total_signups"),
-        F.count_if("is_activation").alias("total_activations"),
-        F.count_if("is_purchase").alias("total_purchases"),
-        F.count_if("is_churn").alias("total_churns"),
-    )
-    return counts.select(
-        col("day_start").cast("date").alias("date"),
-        "channel",
-        "total_signups",
-        "total_activations",
-        "total_purchases",
-        "total_churns",
-    )
+    clustered = events.hint("rebalance", col("event_date"))
+    clustered.write.mode("overwrite").partitionBy("event_date").parquet(f"{events_dir}/batch={batch_id}")
+
+
+def refresh_days(spark: SparkSession, batch_id: int, events_dir: str, counts_dir: str) -> None:
+    """Counts the days of one stored batch anew over all stored batches and replaces just those days."""
+    stored = spark.read.option("basePath", events_dir).parquet(f"{events_dir}/batch=*")
+    stored = stored.where(col("batch") <= batch_id)
+    touched = stored.where(col("batch") == batch_id).select("event_date").distinct()
+    counts = daily_funnel_counts(stored.join(touched, "event_date", "left_semi"))
+    writer = counts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("date").parquet(counts_dir)
 
 
 def _start(df: DataFrame, out_dir: str, checkpoint_dir: str, available_now: bool, processing_time: str | None,
@@ -94,15 +87,27 @@ def start_funnel_counts(
     raw_dir: str,
     out_dir: str,
     checkpoint_dir: str,
-    late_data: str = "2 days",
     available_now: bool = True,
     processing_time: str | None = None,
+    max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
-    """Run the cleaner and the daily funnel counts from ``raw_dir`` into a parquet sink.
+    """Keeps ``out_dir``/counts, partitioned by date, equal to the counts of all raw files so far.
 
-    ``available_now`` processes what is there and stops (a scheduled,
-    incremental replacement of the daily full rebuild); otherwise the query
+    The cleaned events are kept in ``out_dir``/events by batch.  A batch that is
+    repeated after a failure replaces its own rows, so counts stay exact.
+    ``available_now`` processes what is there and stops; otherwise the query
     runs continuously on ``processing_time`` triggers.
     """
-    counts = funnel_counts_stream(clean_event_stream(spark, raw_dir), late_data)
-    return _start(counts, out_dir, checkpoint_dir, available_now, processing_time)
+    events_dir, counts_dir = f"{out_dir}/events", f"{out_dir}/counts"
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        store_batch(batch, batch_id, events_dir)
+        refresh_days(batch.sparkSession, batch_id, events_dir, counts_dir)
+
+    stream = clean_event_stream(spark, raw_dir, max_files_per_trigger)
+    writer = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint_dir)
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    elif processing_time:
+        writer = writer.trigger(processingTime=processing_time)
+    return writer.start()

@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import pytest
+
 from growthlens.catalog import Warehouse
 from growthlens.operators import checks, serving
 from growthlens.sources.io import overwrite_roundtrip, read_table, write_table
@@ -107,6 +109,57 @@ def test_failing_rows_of_a_check(spark):
     cac_not_null = next(c for c in checks.default_checks() if c.model == "mart_acquisition" and c.column == "cac")
     bad = checks.failing_rows(wh.mart_acquisition, cac_not_null)
     got = rows(bad, "channel", "total_conversions", "cac")
-    assert len(got) == 1 and got[0][1] == 0 and got[0][2] is None
+    assert got and all(r[1] == 0 and r[2] is None for r in got)
     roas = next(c for c in checks.default_checks() if c.test == "assert_roas_positive")
     assert checks.failing_rows(wh.mart_acquisition, roas).count() == 0
+
+
+def test_failed_overwrite_leaves_the_old_rows(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    path = str(tmp_path / "t")
+    write_table(spark.range(3), path)
+    with pytest.raises(Exception, match="broken load"):
+        write_table(spark.range(4).select(F.when(F.col("id") > 1, F.raise_error(F.lit("broken load"))).otherwise(F.col("id")).cast("long").alias("id")), path)
+    assert read_table(spark, path).count() == 3
+    # two loads at once: each returned frame keeps the rows it wrote
+    one, two = overwrite_roundtrip(spark.range(5), path), overwrite_roundtrip(spark.range(7), path)
+    assert (one.count(), two.count(), read_table(spark, path).count()) == (5, 7, 7)
+
+
+def test_checks_may_be_none_or_empty(spark):
+    wh = Warehouse(spark, SF_SMALL)
+    assert checks.run_checks({"mart_referral": wh.mart_referral}, checks=[]).count() == 0
+
+
+@pytest.mark.parametrize("name", sorted(__import__("growthlens.operators.serving", fromlist=["x"]).SORT_KEYS))
+def test_presentation_order(spark, name):
+    from growthlens.operators import serving
+
+    wh = Warehouse(spark, SF_SMALL)
+    keys = serving.SORT_KEYS[name]
+    got = rows(serving.ordered(name, getattr(wh, name)), *[k for k, _ in keys])
+    want = list(got)
+    for i, (_, ascending) in reversed(list(enumerate(keys))):
+        want.sort(key=lambda r: r[i], reverse=not ascending)
+    assert got == want and len(got) > 1
+
+
+def test_violated_assertion_stops_the_build(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from growthlens.plans import build_warehouse
+    from growthlens.sources.testdata_feeds import feeds_from_testdata
+
+    feeds = dict(feeds_from_testdata(spark, SF_SMALL))
+    feeds["google_ads_raw"] = feeds["google_ads_raw"].withColumn("cost", F.lit(-5.0))
+    with pytest.raises(ValueError, match="assert_cac_positive"):
+        build_warehouse(spark, feeds, root=str(tmp_path / "wh"), fail_on_checks=True)
+
+
+def test_one_order_value_for_every_roas(spark):
+    wh, more = Warehouse(spark, SF_SMALL), Warehouse(spark, SF_SMALL, avg_order_value=100)
+    for name in ("mart_acquisition", "mart_revenue", "channel_cac"):
+        a = {r[:2] if len(r) > 2 else r[:1]: r[-1] for r in rows(getattr(wh, name), *([c for c in ("date", "channel") if c in getattr(wh, name).columns] + ["roas"]))}
+        b = {r[:2] if len(r) > 2 else r[:1]: r[-1] for r in rows(getattr(more, name), *([c for c in ("date", "channel") if c in getattr(more, name).columns] + ["roas"]))}
+        assert all(b[k] == (None if v is None else pytest.approx(2 * v)) for k, v in a.items())

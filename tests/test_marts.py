@@ -61,7 +61,7 @@ def test_retention_first_seen_cohorts(spark):
         (J(2), 1, 1, 1, 1.0),
     ]
     cols = ("cohort_date", "cohort_size", "days_since_signup", "active_users", "retention_rate")
-    for build in (marts.retention, marts.retention_join_form):
+    for build in (marts.retention,):
         out = build(ev).orderBy("cohort_date", "days_since_signup")
         assert rows(out, *cols) == expected
         assert dict(out.dtypes)["days_since_signup"] == "bigint"
@@ -174,13 +174,6 @@ def test_retention_invariants(spark):
     assert day0.agg(F.sum("cohort_size")).first()[0] == users
 
 
-def test_retention_window_form_equals_join_form(spark):
-    ev = Warehouse(spark, SF_MEDIUM).stg_posthog
-    a = marts.retention(ev)
-    b = marts.retention_join_form(ev).select(*a.columns)
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
-
-
 def test_results_do_not_depend_on_shuffle_partitions(spark):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     try:

@@ -37,7 +37,7 @@ def test_meta_cleaning_three_valued_filter(spark):
         ("k3", Decimal("5.00"), 0, 0, None, None, day),
         ("k4", Decimal("5.00"), 0, 2, None, 0.5, day),
     ]
-    assert dict(out.dtypes)["spend_eur"] == "decimal(18,2)"
+    assert dict(out.dtypes)["spend_eur"] == "double"
 
 
 def test_search_buckets_and_filter(spark):
