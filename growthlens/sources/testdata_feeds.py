@@ -143,7 +143,7 @@ FEED_SQL: dict[str, tuple[str, str | None, dict[str, str]]] = {
             "when 3 then 'google_display' when 4 then 'email' when 5 then 'organic' when 6 then 'meta' else 'google' end"
         ),
         "country": "case user_id % 5 when 0 then 'IE' when 1 then 'GB' when 2 then 'US' when 3 then 'IN' else 'DE' end",
-        "timestamp": "cast(cast(ts as date) + cast(user_id % 7 + 40 * (event_id % 3) as int) as string)",
+        "timestamp": "cast(cast(ts as date) + cast(user_id % 7 + 15 * (event_id % 3) as int) as string)",
         "loaded_at": LOADED_AT,
     }),
 }

@@ -23,7 +23,7 @@ def test_bench_prints_one_json_line():
     result = json.loads(lines[0])
     assert {"metric", "value", "unit", "queries", "sf"} <= set(result)
     assert result["unit"] == "sec" and result["sf"] == 0.001
-    import __spark_entry__ as entry
+    from growthlens import catalog
 
-    assert set(result["queries"]) == set(entry.queries())
+    assert set(result["queries"]) == set(catalog.QUERIES)
     assert all(v > 0 for v in result["queries"].values())

@@ -40,7 +40,7 @@ def test_twenty_checks_on_testdata(spark):
     assert len(got) == 20
     failing = [g for g in got if g[3] != 0]
     # one day of Meta ads has no conversions -> its CAC is NULL
-    assert failing == [("mart_acquisition", "cac", "not_null", 1)]
+    assert failing == [("mart_acquisition", "cac", "not_null", 12)]
 
 
 def test_serving_order(spark):
