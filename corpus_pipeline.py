@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from growthlens.llm import secrets
@@ -17,59 +17,72 @@ from growthlens.llm.quality import fit_quality_model, score_quality
 from growthlens.session import shared_dir
 
 
+def _row(docs: DataFrame) -> Column:
+    """All columns of ``docs`` as one struct, so that no name of theirs can clash with a helper column."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose quality score is 0.5 or more; the model learns from all labels of ``docs``."""
+    """Documents whose quality score is 0.5 or more; the model learns from all labels of ``docs``.
+
+    Null and empty texts are scored like others; repeated rows are judged alike.
+    """
     model = fit_quality_model(docs, table(spark, sf_dir, "labels"))
-    kept = [F.col(c) for c in docs.columns if c not in ("doc_id", "text")]
-    scored = score_quality(docs, model, *kept, F.col("text").alias("_text"))
-    good = scored.where(F.col("score") >= 0.5)
-    return good.select(*[F.col("_text").alias("text") if c == "text" else F.col(c) for c in docs.columns])
+    scored = score_quality(docs.select("doc_id", "text", _row(docs)), model, F.col("row"))
+    return scored.where(F.col("score") >= 0.5).select("row.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: that of the smallest doc_id; one row of repeated ids."""
+    """One document of each group of near-duplicates: that of the smallest doc_id.
+
+    Of rows with equal ids and equal texts one stays; different texts under one
+    id all stay if the id does.  Rows with a null id stay.
+    """
     found = near_duplicates(docs)
     gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("gone")).distinct()
-    kept = docs.join(gone, F.col("doc_id") == F.col("gone"), "left_anti")
-    repeated = docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count().where("count > 1")
+    held = docs.select("doc_id", "text", _row(docs))
+    kept = held.join(gone, F.col("doc_id") == F.col("gone"), "left_anti")
+    repeated = docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
     repeated = repeated.select(F.col("doc_id").alias("again"))
-    if repeated.isEmpty():
-        return kept
-    once = kept.join(repeated, F.col("doc_id") == F.col("again"), "left_anti")
-    return once.unionByName(kept.join(repeated, F.col("doc_id") == F.col("again"), "left_semi").dropDuplicates(["doc_id"]))
+    if not repeated.isEmpty():
+        once = kept.join(repeated, F.col("doc_id") == F.col("again"), "left_anti")
+        several = kept.join(repeated, F.col("doc_id") == F.col("again"), "left_semi")
+        kept = once.unionByName(several.dropDuplicates(["doc_id", "text"]))
+    return kept.select("row.*")
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, every secret in their texts masked; n_chars follows the new text."""
+    """All documents, every secret in their texts masked; n_chars follows the new text.  Null texts stay null."""
     ledger = secrets.BlobLedger.fresh(spark)
     ledger.scan(docs)
     found = ledger.rows(secrets.RULE_VERSION).where(F.size("spans") > 0).select(F.col("blob").alias("found"), "spans")
-    joined = docs.withColumn("_blob", secrets.blob_id(F.col("text"))).join(found, F.col("_blob") == F.col("found"), "left")
-    text = F.when(F.col("spans").isNotNull(), secrets.masked(F.col("text"), F.col("spans"))).otherwise(F.col("text"))
-    cleaned = joined.withColumn("text", text)
+    held = docs.select(secrets.blob_id(F.col("text")).alias("blob"), _row(docs))
+    joined = held.join(found, F.col("blob") == F.col("found"), "left")
+    text = secrets.masked(F.col("row.text"), F.col("spans"))
+    changed = F.col("row").withField("text", text)
     if "n_chars" in docs.columns:
-        n_chars = F.when(F.col("spans").isNotNull(), F.length("text").cast(docs.schema["n_chars"].dataType))
-        cleaned = cleaned.withColumn("n_chars", n_chars.otherwise(F.col("n_chars")))
-    return cleaned.select(*docs.columns)
+        changed = changed.withField("n_chars", F.length(text).cast(docs.schema["n_chars"].dataType))
+    return joined.select(F.when(F.col("spans").isNotNull(), changed).otherwise(F.col("row")).alias("row")).select("row.*")
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them; rows with equal id, source and size take what the mix gives them together in turn."""
     keys = ["doc_id", "source", "size"]
     taken = mix(docs).groupBy(*keys).agg(F.sum("copies").alias("copies"), F.count("*").alias("rows"))
-    sized = docs.withColumn("_size", word_count(F.col("text")))
-    taken = taken.select(F.col("doc_id").alias("of"), F.col("source").alias("of_source"), F.col("size").alias("of_size"), "copies", "rows")
-    joined = sized.join(
+    held = docs.select(
+        F.col("doc_id").alias("id"), F.col("source").alias("from"), word_count(F.col("text")).alias("words"), _row(docs)
+    )
+    joined = held.join(
         taken,
-        F.col("doc_id").eqNullSafe(F.col("of")) & F.col("source").eqNullSafe(F.col("of_source")) & (F.col("_size") == F.col("of_size")),
+        F.col("id").eqNullSafe(F.col("doc_id")) & F.col("from").eqNullSafe(F.col("source")) & (F.col("words") == F.col("size")),
     )
-    # rows that cannot be told apart by these keys share their copies by a hash of the text, the rest going to none twice
+    # rows that cannot be told apart by these keys share their copies, the remainder by a hash of the text
     times = F.when(F.col("rows") == 1, F.col("copies")).otherwise(
         F.floor(F.col("copies") / F.col("rows")).cast("long")
-        + (F.pmod(F.xxhash64("text"), F.col("rows")) < F.col("copies") % F.col("rows")).cast("long")
+        + (F.pmod(F.xxhash64("row.text"), F.col("rows")) < F.col("copies") % F.col("rows")).cast("long")
     )
-    emitted = joined.withColumn("_times", times).where("_times > 0")
-    return emitted.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times")))).select(*docs.columns)
+    emitted = joined.select(times.alias("times"), "row").where("times > 0")
+    return emitted.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times")))).select("row.*")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
