@@ -40,8 +40,8 @@ def fit_language_model(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Langu
     sample = (
         known.where(hash_share(3) < share)
         .where(F.col("text").rlike(HAS_LETTER))
-        .select("lang", sampled_passages(WINDOW, PASSAGES).alias("passages"), F.xxhash64("text").alias("order"))
-        .orderBy("order")
+        .select("doc_id", "lang", sampled_passages(WINDOW, PASSAGES).alias("passages"), F.xxhash64("text").alias("order"))
+        .orderBy("order", "doc_id", "lang")  # copies of a text in one order, so that every run trains the same model
         .limit(2 * sample_docs * max(1, len(counts)))
         .collect()
     )

@@ -73,12 +73,13 @@ def fit_quality_model(docs: DataFrame, labels: DataFrame, sample_docs: int = SAM
         .where(F.length("text") > 0)
         .join(F.broadcast(drawn), "doc_id")
         .select(
+            "doc_id",
             "quality",
             sampled_passages(2 * BLOCK, PASSAGES).alias("passages"),
             F.element_at(sampled_passages(SHORT, 1), 1).alias("short"),
             F.xxhash64("text").alias("order"),
         )
-        .orderBy("order")
+        .orderBy("order", "doc_id")  # copies of a text in one order, so that every run trains the same model
         .collect()
     )
     owner = np.repeat(np.arange(len(sample)), [len(r["passages"]) for r in sample])

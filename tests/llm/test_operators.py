@@ -303,3 +303,12 @@ def test_folds_follow_crc32(spark):
     ids = [0, 7, 123, 99999]
     frame = spark.createDataFrame([(i,) for i in ids], "doc_id long").select("doc_id", _fold(4, 2).alias("held"))
     assert dict(rows(frame)) == {i: zlib.crc32(str(i).encode()) % 4 == 2 for i in ids}
+
+
+def test_models_do_not_depend_on_the_order_of_rows(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    docs = docs.union(docs.withColumn("doc_id", F.col("doc_id") + 10_000))  # copies of every text
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).alias("quality"))
+    for fit in (lambda d: fit_quality_model(d, labels), fit_language_model):
+        one, two = (fit(d).network for d in (docs, docs.repartition(7, F.rand(3))))
+        assert all((a == b).all() for a, b in zip([*one.tables, one.weights], [*two.tables, two.weights], strict=True))
