@@ -3,7 +3,8 @@
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8).
 Each query is forced to completion with the ``noop`` sink (full execution, no
 driver collect).  One cold pass (first run in the JVM: class loading, codegen)
-and one warm pass are timed; the headline value is the warm total.  The full
+and WARM_PASSES warm passes are timed; a query's value is the median of its warm
+runs, the headline the sum of these medians.  The full
 build writes every relation of the warehouse under the shared folder
 (``spark.checkpoint.dir``), replacing the previous run's tables.
 
@@ -15,11 +16,13 @@ from __future__ import annotations
 import json
 import os
 import re
+import statistics
 import sys
 import time
 
 ROOT = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, ROOT)
+WARM_PASSES = 3
 
 
 def _run(df) -> None:
@@ -36,7 +39,7 @@ def _plan_metrics(df) -> dict:
     return {
         "event_scans": len(re.findall(r"FileScan parquet [^\n]*events\.parquet", plan)),
         "scans": plan.count("FileScan parquet"),
-        "shuffles": len(re.findall(r"Exchange (hash|range|single|round)", plan, flags=re.IGNORECASE)),
+        "shuffles": len(re.findall(r"(?<!Broadcast)Exchange (?:hash|range|single|round)", plan, flags=re.IGNORECASE)),
         "sorts": len(re.findall(r"\bSort \[", plan)),
         "joins": len(re.findall(r"\w+Join ", plan)),
     }
@@ -55,17 +58,19 @@ def main() -> None:
     # the full build replaces its previous run under the session's shared folder
     scratch = f"{shared_dir(spark)}/growthlens/bench/{os.path.basename(sf_dir)}"
 
-    cold: dict[str, float] = {}
-    warm: dict[str, float] = {}
+    passes: list[dict[str, float]] = []
     plans: dict[str, dict] = {}
-    for phase, times in (("cold", cold), ("warm", warm)):
+    for k in range(1 + WARM_PASSES):
+        passes.append({})
         for name, query in QUERIES.items():
             t0 = time.perf_counter()
             df = query(spark, sf_dir)
             _run(df)
-            times[name] = round(time.perf_counter() - t0, 3)
-            if phase == "warm":
+            passes[k][name] = round(time.perf_counter() - t0, 3)
+            if k == WARM_PASSES:
                 plans[name] = _plan_metrics(df)
+    cold = passes[0]
+    warm = {name: statistics.median(p[name] for p in passes[1:]) for name in QUERIES}
 
     t0 = time.perf_counter()
     build_warehouse(spark, feeds_from_testdata(spark, sf_dir), root=f"{scratch}/warehouse")

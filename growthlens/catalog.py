@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from growthlens.plans.relations import ALL_NAMES, Relations
 from growthlens.session import shared_dir
-from growthlens.sources.io import overwrite_roundtrip
+from growthlens.sources.io import overwrite_roundtrip, publish_table, write_table
 from growthlens.sources.testdata_feeds import FEED_SQL, derive_feed, read_testdata
 
 
@@ -46,6 +46,15 @@ class Warehouse(Relations):
         path = f"{shared_dir(self.spark)}/growthlens/raw/posthog_raw-{key}"
         return overwrite_roundtrip(self.raw("posthog_raw"), path)
 
+    @cached_property
+    def mart_named_table(self) -> DataFrame:
+        """The activation mart stored as a full-replace table and read back by its name."""
+        key = hashlib.sha1(self.sf_dir.encode()).hexdigest()[:12]
+        name, path = f"mart_activation_{key}", f"{shared_dir(self.spark)}/growthlens/marts/mart_activation-{key}"
+        write_table(self.mart_activation, path)
+        publish_table(self.spark, name, path)
+        return self.spark.table(name)
+
 
 def _relation(attr: str) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,5 +65,5 @@ def _relation(attr: str) -> Callable[[SparkSession, str], DataFrame]:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    name: _relation(name) for name in ALL_NAMES + ("load_overwrite_roundtrip",)
+    name: _relation(name) for name in ALL_NAMES + ("load_overwrite_roundtrip", "mart_named_table")
 }

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from growthlens.operators import checks, marts, serving, staging, weekly
 from growthlens.session import shared_dir
-from growthlens.sources.io import read_table, write_table
+from growthlens.sources.io import publish_table, read_table, write_table
 
 
 def _store(spark: SparkSession, df: DataFrame, path: str, partition_by=None) -> DataFrame:
@@ -48,6 +48,7 @@ def build_warehouse(
     root: str | None = None,
     partition_events_by_date: bool = False,
     fail_on_checks: bool = False,
+    database: str | None = None,
     **mart_params,
 ) -> dict[str, str]:
     """Build and store every relation; returns ``name -> path``.
@@ -57,7 +58,8 @@ def build_warehouse(
     are passed to the revenue mart (``avg_order_value``, ``monthly_price``,
     ``lifetime_months``, ``channel_map``).  ``fail_on_checks`` stops the build
     before the dashboards if a data check finds failing rows (one result row per
-    check is looked at).
+    check is looked at).  With ``database`` every mart, weekly and dashboard table
+    can be read as ``database.name`` once the whole build has succeeded.
     """
     root = (root or f"{shared_dir(spark)}/growthlens/warehouse").rstrip("/")
     paths: dict[str, str] = {}
@@ -111,4 +113,8 @@ def build_warehouse(
     }
     for name, df in dashboards.items():
         store(name, df, "serving")
+    if database:
+        for name, path in paths.items():
+            if path.startswith((f"{root}/marts/", f"{root}/weekly/", f"{root}/serving/")):
+                publish_table(spark, f"{database}.{name}", path)
     return paths

@@ -106,6 +106,18 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None,
     return reader.load(current_path(spark, path.rstrip("/")))
 
 
+def publish_table(spark: SparkSession, name: str, path: str) -> None:
+    """Names the current version of the table at ``path`` in the session's catalog.
+
+    ``name`` (``database.table`` or ``table``) becomes a stored view on that
+    version.  Replacing the view is one catalog step, so readers by name see the
+    old load or the new one, never a mixture, and a failed load changes nothing.
+    """
+    target = current_path(spark, path.rstrip("/"))
+    quoted = ".".join(f"`{part}`" for part in name.split("."))
+    spark.sql(f"create or replace view {quoted} as select * from parquet.`{target}`")
+
+
 def overwrite_roundtrip(df: DataFrame, path: str, partition_by: Sequence[str] | None = None) -> DataFrame:
     """Write ``df`` as a full-replace table at ``path`` and return the stored copy.
 

@@ -6,7 +6,7 @@ import pytest
 
 from growthlens.catalog import Warehouse
 from growthlens.operators import checks, serving
-from growthlens.sources.io import overwrite_roundtrip, read_table, write_table
+from growthlens.sources.io import overwrite_roundtrip, publish_table, read_table, write_table
 from tests.conftest import SF_MEDIUM, SF_SMALL, rows
 
 J = lambda d: dt.date(2024, 1, d)
@@ -163,3 +163,24 @@ def test_one_order_value_for_every_roas(spark):
         a = {r[:2] if len(r) > 2 else r[:1]: r[-1] for r in rows(getattr(wh, name), *([c for c in ("date", "channel") if c in getattr(wh, name).columns] + ["roas"]))}
         b = {r[:2] if len(r) > 2 else r[:1]: r[-1] for r in rows(getattr(more, name), *([c for c in ("date", "channel") if c in getattr(more, name).columns] + ["roas"]))}
         assert all(b[k] == (None if v is None else pytest.approx(2 * v)) for k, v in a.items())
+
+
+def test_named_table_follows_the_newest_committed_load(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_table(spark.createDataFrame([(1, "a")], "id int, v string"), path)
+    publish_table(spark, "named_load", path)
+    assert rows(spark.table("named_load")) == [(1, "a")]
+    write_table(spark.createDataFrame([(2, "b"), (3, "c")], "id int, v string"), path)
+    assert rows(spark.table("named_load")) == [(1, "a")]  # readers see the new load once it is published
+    publish_table(spark, "named_load", path)
+    assert sorted(rows(spark.table("named_load"))) == [(2, "b"), (3, "c")]
+
+
+def test_build_publishes_its_tables(spark, tmp_path):
+    from growthlens.plans import build_warehouse
+    from growthlens.sources import feeds_from_testdata
+
+    build_warehouse(spark, feeds_from_testdata(spark, SF_SMALL), root=str(tmp_path), database="default")
+    want = Warehouse(spark, SF_SMALL).mart_activation
+    assert sorted(rows(spark.table("default.mart_activation")), key=str) == sorted(rows(want), key=str)
+    assert spark.catalog.tableExists("default.weekly_kpis") and spark.catalog.tableExists("default.funnel_daily")
