@@ -78,5 +78,8 @@ def test_every_query_reads_the_testdata_tables(spark, name):
     if name == "load_overwrite_roundtrip":
         # reads back the table it has just written from the testdata events
         assert "FileScan parquet" in plan and "growthlens/raw/posthog_raw" in plan
+    elif name == "mart_named_table":
+        # reads back, by name, the mart it has just stored from the testdata events
+        assert "FileScan parquet" in plan and "growthlens/marts/mart_activation" in plan
     else:
         assert re.search(rf"FileScan parquet [^\n]*{re.escape(SF_SMALL)}/\w+\.parquet", plan), name
