@@ -21,6 +21,8 @@ SPECIAL = "<|endoftext|>"
 CACHE_ENTRIES = 250_000
 _ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+", re.ASCII)
 _ANY = regex.compile(public_tokenizers.PATTERN)
+# A blank behind white space that no other character follows: it may lie inside a pre-token.
+_INNER_BLANK = re.compile(r"\s (?!\S)")
 _COUNTERS: dict[str, TokenCounter] = {}
 
 
@@ -53,9 +55,10 @@ class TokenCounter:
             parts = text.split(SPECIAL) if SPECIAL in text else [text]
             totals[i] += len(parts) - 1
             for part in parts:
-                # A blank between two non-blanks always starts a pre-token, so a
-                # text without double blanks falls apart into blank-led chunks.
-                if "  " in part:
+                # A blank starts a pre-token if there is no white space before it
+                # or something else than white space behind it, so a text whose
+                # blanks are all like that falls apart into blank-led chunks.
+                if "  " in part or _INNER_BLANK.search(part):
                     whole.append((i, self.split(part)))
                 elif part:
                     first, *rest = part.split(" ")

@@ -59,6 +59,16 @@ def test_token_counts_equal_the_library():
     assert TokenCounter(public_tokenizers.path("byte_bpe_50k.json")).count(texts) == want
 
 
+def test_token_counts_of_blanks_among_other_white_space():
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    runs = ["\xa0 " * n for n in range(1, 20)] + ["\n \n", "\n ", " \n", "\u3000 \u3000", "\x85 \t \xa0", "\x1c \x1c", "\u2028 \n "]
+    texts = [a + s + run + b for run in runs for s in ("", " ") for a in ("", "x") for b in ("", "y", " y", "<|endoftext|>")]
+    r = random.Random(9)
+    texts += ["".join(r.choice(" \xa0\n\tx") for _ in range(r.randint(1, 30))) for _ in range(3000)]
+    want = [len(x.ids) for x in library.encode_batch(texts, add_special_tokens=False)]
+    assert TokenCounter(public_tokenizers.path("byte_bpe_50k.json")).count(texts) == want
+
+
 def test_word_ids_equal_the_library():
     library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     texts = [*odd_texts(seed=2), "b" * 500]
