@@ -9,9 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from growthlens.llm import secrets
-from growthlens.llm.common import table
+from growthlens.llm.common import cut_lineage, table
 from growthlens.llm.minhash import near_duplicates
-from growthlens.llm.mixing import mix, word_count
+from growthlens.llm.mixing import mix
 from growthlens.llm.packing import pack
 from growthlens.llm.quality import fit_quality_model, score_quality
 from growthlens.session import shared_dir
@@ -22,6 +22,11 @@ def _row(docs: DataFrame) -> Column:
     return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` as rows with a number that none shares, stored, so that every reader sees the same numbers."""
+    return cut_lineage(docs.select(F.monotonically_increasing_id().alias("key"), _row(docs)))
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose quality score is 0.5 or more; the model learns from all labels of ``docs``.
 
@@ -66,23 +71,11 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them; rows with equal id, source and size take what the mix gives them together in turn."""
-    keys = ["doc_id", "source", "size"]
-    taken = mix(docs).groupBy(*keys).agg(F.sum("copies").alias("copies"), F.count("*").alias("rows"))
-    held = docs.select(
-        F.col("doc_id").alias("id"), F.col("source").alias("from"), word_count(F.col("text")).alias("words"), _row(docs)
-    )
-    joined = held.join(
-        taken,
-        F.col("id").eqNullSafe(F.col("doc_id")) & F.col("from").eqNullSafe(F.col("source")) & (F.col("words") == F.col("size")),
-    )
-    # rows that cannot be told apart by these keys share their copies, the remainder by a hash of the text
-    times = F.when(F.col("rows") == 1, F.col("copies")).otherwise(
-        F.floor(F.col("copies") / F.col("rows")).cast("long")
-        + (F.pmod(F.xxhash64("row.text"), F.col("rows")) < F.col("copies") % F.col("rows")).cast("long")
-    )
-    emitted = joined.select(times.alias("times"), "row").where("times > 0")
-    return emitted.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times")))).select("row.*")
+    """Documents as often as the mix takes them, each row by a stored key of its own."""
+    keyed = _keyed(docs)
+    taken = mix(keyed.select("row.doc_id", "row.source", "row.text", "key"), key=F.col("key"))
+    emitted = keyed.join(taken.where("copies > 0").select("key", "copies"), "key")
+    return emitted.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("row.*")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -58,7 +58,11 @@ def source_offset(source: Column, seed: str = SEED) -> Column:
 
 
 def mix(
-    docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, seed: str = SEED
+    docs: DataFrame,
+    weights: tuple[int, ...] = WEIGHTS,
+    most: int = MOST,
+    seed: str = SEED,
+    key: Column | None = None,
 ) -> DataFrame:
     """doc_id, source, size, source_size, target, copies and taken of every row of ``docs``.
 
@@ -75,10 +79,14 @@ def mix(
     Null and blank texts have size 0 and are taken like the others, with no
     words; a null source is a source of its own; rows with equal ids count
     each; null ids come first; an empty table gives no rows; other columns are
-    not read.
+    not read.  ``key``, a stored value that no two rows share, comes last in the
+    order and is returned as ``key``, so that each row finds its own copies.
     """
-    narrow = cut_lineage(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")))
-    keys = [F.col("source").asc_nulls_last(), F.col("size").asc(), F.col("doc_id").asc_nulls_first()]
+    named = [] if key is None else ["key"]
+    narrow = cut_lineage(
+        docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), *([] if key is None else [key.alias("key")]))
+    )
+    keys = [F.col("source").asc_nulls_last(), F.col("size").asc(), F.col("doc_id").asc_nulls_first(), *named]
     ranged = narrow.repartitionByRange(*keys).sortWithinPartitions(*keys)
     ranged = cut_lineage(ranged.withColumn("at", F.monotonically_increasing_id()))
     part = F.shiftright("at", 33).alias("part")
@@ -101,5 +109,5 @@ def mix(
     copies = F.floor(F.col("draw") + F.col("rate") * (place + 1)) - F.floor(F.col("draw") + F.col("rate") * place)
     copies = copies.cast("long")
     return rows.select(
-        "doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken")
+        "doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"), *named
     )

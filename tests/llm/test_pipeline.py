@@ -145,3 +145,15 @@ def test_stages_take_odd_rows_and_clashing_columns(spark):
             assert max(ids.values()) <= 6
     assert stages["packing"](spark, wide, DATA).agg(F.countDistinct("doc_id")).first()[0] == 7
     assert stages["packing"](spark, wide.limit(0), DATA).count() == 0
+
+
+def test_mixing_stage_gives_each_row_its_own_copies(spark):
+    odd = [(None, "one two three", "a", 0)] * 300 + [(7, "one two three", "a", 0)] * 200 + [(8, f"text {k}", "a", k) for k in range(90)]
+    odd += [(100 + k, "w " * 40, "b", k) for k in range(20)]
+    frame = spark.createDataFrame(odd, "doc_id long, text string, source string, key long")
+    want = Counter()
+    for r in mix(frame).collect():
+        want[r.doc_id, r.source, r["size"]] += r["copies"]
+    got = corpus_pipeline.mixing(spark, frame, DATA).collect()
+    assert want[None, "a", 3] not in (0, 300) and want[8, "a", 2] not in (0, 90)
+    assert Counter((r.doc_id, r.source, len(r.text.split())) for r in got) == +want
