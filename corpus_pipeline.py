@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from growthlens.llm import secrets
 from growthlens.llm.common import cut_lineage, table
 from growthlens.llm.minhash import near_duplicates
-from growthlens.llm.mixing import mix
+from growthlens.llm.mixing import mix, word_count
 from growthlens.llm.packing import pack
 from growthlens.llm.quality import fit_quality_model, score_quality
 from growthlens.session import shared_dir
@@ -38,22 +38,29 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: that of the smallest doc_id.
+    """One row of each class of near-duplicates: that of the smallest doc_id, a null id only if there is no other.
 
-    Of rows with equal ids and equal texts one stays; different texts under one
-    id all stay if the id does.  Rows with a null id stay.
+    Rows are judged each, by a stored key of their own that stands for their id,
+    so different texts under one id stay or go by their own classes, and rows
+    with a null id are compared like others.  Texts without words are no
+    duplicates of others; of those with equal ids and texts one stays, and with
+    a null id all.
     """
-    found = near_duplicates(docs)
-    gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("gone")).distinct()
-    held = docs.select("doc_id", "text", _row(docs))
-    kept = held.join(gone, F.col("doc_id") == F.col("gone"), "left_anti")
-    repeated = docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
-    repeated = repeated.select(F.col("doc_id").alias("again"))
-    if not repeated.isEmpty():
-        once = kept.join(repeated, F.col("doc_id") == F.col("again"), "left_anti")
-        several = kept.join(repeated, F.col("doc_id") == F.col("again"), "left_semi")
-        kept = once.unionByName(several.dropDuplicates(["doc_id", "text"]))
-    return kept.select("row.*")
+    keyed = _keyed(docs)
+    found = near_duplicates(keyed.select(F.col("key").alias("doc_id"), "row.text"))
+    found = found.select(F.col("doc_id").alias("of"), "class_id")
+    again = (word_count(F.col("row.text")) == 0) & F.col("row.doc_id").isNotNull()
+    held = keyed.select(
+        "key",
+        F.when(again, F.struct("row.doc_id", "row.text")).alias("again"),
+        F.struct(F.col("row.doc_id").isNull(), "row.doc_id", F.xxhash64("row.text"), "key").alias("place"),
+    )
+    members = held.join(found, F.col("key") == F.col("of"))
+    label = F.when(F.col("again").isNull(), F.col("class_id")).alias("class")
+    members = cut_lineage(members.select("key", "again", label, "place"))
+    first = members.groupBy("class", "again").agg(F.min("place")["key"].alias("first"))
+    gone = members.select("key").join(first, F.col("key") == F.col("first"), "left_anti")
+    return keyed.join(gone, "key", "left_anti").select("row.*")
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

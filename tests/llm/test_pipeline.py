@@ -157,3 +157,18 @@ def test_mixing_stage_gives_each_row_its_own_copies(spark):
     got = corpus_pipeline.mixing(spark, frame, DATA).collect()
     assert want[None, "a", 3] not in (0, 300) and want[8, "a", 2] not in (0, 90)
     assert Counter((r.doc_id, r.source, len(r.text.split())) for r in got) == +want
+
+
+def test_near_dedup_stage_judges_rows_not_ids(spark):
+    r = random.Random(6)
+    words = [[f"w{r.randrange(10**6)}" for _ in range(120)] for _ in range(5)]
+    text = [" ".join(w) for w in words]
+    near = [" ".join([*w[:-1], "other"]) for w in words]
+    odd = [(1, text[0], 0), (2, near[0], 1), (2, text[1], 2), (3, near[1], 3), (3, near[1].upper(), 4), (4, text[2], 5), (4, near[2], 6)]
+    odd += [(None, text[3], 10 + k) for k in range(40)] + [(None, near[3], 50), (None, text[4], 51), (9, near[4], 52)]
+    odd += [(5, "", 60), (5, "", 61), (5, None, 62), (None, None, 63), (None, None, 64)]
+    frame = spark.createDataFrame(odd, "doc_id long, text string, n long")
+    got = {x.n for x in corpus_pipeline.near_dedup(spark, frame, DATA).collect()}
+    assert {0, 2, 52, 62, 63, 64} <= got and not {1, 3, 4, 51} & got
+    assert len({5, 6} & got) == len({*range(10, 51)} & got) == len({60, 61} & got) == 1
+    assert len(got) == 9
