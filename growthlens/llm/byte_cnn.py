@@ -87,27 +87,31 @@ class ByteCNN:
                 self._quick.append((1 / scale, steps))
         return self._quick
 
-    def pool(self, data: np.ndarray, length: int) -> np.ndarray:
-        """Max-pooled responses (blocks, filters) of consecutive blocks of ``length`` (a power of two) positions."""
-        blocks = len(data) // length
-        data = np.r_[data, np.zeros(MARGIN, np.uint8)]
-        out = np.empty((blocks, self.filters * len(WIDTHS)), np.float32)
+    def pool(self, data: np.ndarray, length: int, blocks: np.ndarray) -> np.ndarray:
+        """Max-pooled responses (blocks, filters) of consecutive blocks of ``length`` (a power of two) positions.
+
+        ``blocks`` has the blocks of each text: behind the last of them all
+        bytes are zero, whatever text follows in ``data``.
+        """
+        grid = data.reshape(-1, length)
+        behind = np.zeros((len(grid), MARGIN), np.uint8)
+        behind[:-1] = grid[1:, :MARGIN]
+        behind[np.cumsum(blocks) - 1] = 0
+        out = np.empty((len(grid), self.filters * len(WIDTHS)), np.float32)
         rows = max(1, 16384 // length)
-        for at in range(0, blocks, rows):
-            n = min(rows, blocks - at)
-            part = data[at * length : (at + n) * length + MARGIN].astype(np.intp)
-            pair = (part[:-1] << 8) | part[1:]
+        for at in range(0, len(grid), rows):
+            part = np.concatenate([grid[at : at + rows], behind[at : at + rows]], axis=1).astype(np.intp)
+            pair = (part[:, :-1] << 8) | part[:, 1:]
             for i, (unit, steps) in enumerate(self._prepared()):
                 total = None
                 for k, paired, table in steps:
-                    index = (pair if paired else part)[k : k + n * length]
+                    index = (pair if paired else part)[:, k : k + length]
                     got = table.take(index, axis=0, mode="clip")
                     total = got if total is None else np.add(total, got, out=total)
-                total = total.reshape(n, length, -1)
                 while total.shape[1] > 1:
                     half = total.shape[1] // 2
                     total = np.maximum(total[:, :half], total[:, half:])
-                out[at : at + n, i * self.filters : (i + 1) * self.filters] = total[:, 0] * np.float32(unit)
+                out[at : at + rows, i * self.filters : (i + 1) * self.filters] = total[:, 0] * np.float32(unit)
         return out
 
     def logits(self, pooled: np.ndarray) -> np.ndarray:

@@ -82,7 +82,7 @@ def identify_languages(docs: DataFrame, model: LanguageModel, *extra: Column) ->
             some = np.flatnonzero([bool(t) for t in texts])
             if network is not None and len(some):
                 data, blocks = padded([texts[i] for i in some], WINDOW)
-                votes = softmax(network.logits(network.pool(data, WINDOW)).astype(np.float64))
+                votes = softmax(network.logits(network.pool(data, WINDOW, blocks)).astype(np.float64))
                 mean = np.add.reduceat(votes, segment_starts(blocks), axis=0) / blocks[:, None]
                 best = mean.argmax(axis=1)
                 labels[some] = np.array(languages, dtype=object)[best]

@@ -34,7 +34,7 @@ class QualityModel:
     def document_logits(self, texts: list[str]) -> np.ndarray:
         """Mean logit of the chunks of each whole text."""
         data, blocks = padded(texts, BLOCK)
-        pooled = self.network.pool(data, BLOCK)
+        pooled = self.network.pool(data, BLOCK, blocks)
         starts = segment_starts(blocks)
         chunks = np.maximum(pooled, np.r_[pooled[1:], pooled[-1:]])
         last = starts + blocks - 1
@@ -98,7 +98,7 @@ def fit_quality_model(docs: DataFrame, labels: DataFrame, sample_docs: int = SAM
         np.r_[weight[owner] / np.bincount(owner)[owner] * PASSAGES, weight],
     )
     flat = np.ascontiguousarray(windows[:, : 2 * BLOCK]).ravel()
-    logits = network.logits(network.pool(flat, 2 * BLOCK)).astype(np.float64)
+    logits = network.logits(network.pool(flat, 2 * BLOCK, np.ones(len(windows), np.int64))).astype(np.float64)
     odds = np.bincount(owner, np.clip(logits[:, 1] - logits[:, 0], -_LIMIT, _LIMIT)) / np.bincount(owner)
     slope, shift = _calibrated(odds, quality, weight)
     return QualityModel(network, slope, shift)

@@ -12,13 +12,14 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from growthlens.llm import chat, secrets
+from growthlens.llm.byte_cnn import ByteCNN
 from growthlens.llm.embedding_dedup import near_duplicate_vectors
 from growthlens.llm.language_id import fit_language_model, identify_languages
 from growthlens.llm.minhash import near_duplicates
 from growthlens.llm.mixing import mix
 from growthlens.llm.nearest import adaptive_scan, nearest
 from growthlens.llm.packing import WordEncoder, first_fit_decreasing, pack
-from growthlens.llm.quality import fit_quality_model, score_quality
+from growthlens.llm.quality import QualityModel, fit_quality_model, score_quality
 from growthlens.llm.shingles import jaccard, jaccard_matrix, numbered_shingles, weighted_shingles, word_hashes
 from growthlens.llm.token_counts import TokenCounter, count_tokens
 from tests.conftest import rows
@@ -322,3 +323,13 @@ def test_models_do_not_depend_on_the_order_of_rows(spark):
     for fit in (lambda d: fit_quality_model(d, labels), fit_language_model):
         one, two = (fit(d).network for d in (docs, docs.repartition(7, F.rand(3))))
         assert all((a == b).all() for a, b in zip([*one.tables, one.weights], [*two.tables, two.weights], strict=True))
+
+
+def test_scores_do_not_depend_on_neighbouring_rows():
+    model = QualityModel(ByteCNN(2), 1.0, 0.0)
+    r = random.Random(8)
+    texts = ["".join(r.choice("abcdefgh ") for _ in range(n)) for n in [*range(250, 262), *range(508, 516), 0, 1, 300]]
+    alone = np.concatenate([model.document_logits([t]) for t in texts])
+    for behind in ("zzzz", "Q", "\x01\x02\x03", ""):
+        mixed = [x for t in texts for x in (t, behind)]
+        assert np.allclose(model.document_logits(mixed)[::2], alone, rtol=0, atol=1e-6)
