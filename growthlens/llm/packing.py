@@ -134,8 +134,8 @@ def pack(
     A document's tokens (its ids and ``end_id``) are cut every ``length``; full
     pieces are sequences of their own (negative ids), the remainders are packed
     by first-fit decreasing within groups of about ``group_docs`` documents,
-    dealt by a seeded hash of id and text.  Only numbers are shuffled, never
-    texts, and no group grows with the input.
+    dealt by a seeded hash of id, text and a stored row number.  Only numbers are
+    shuffled, never texts, and no group grows with the input, whatever repeats.
 
     Null and empty texts are one token; null ids are kept; repeated rows are
     packed each; an empty table gives no pieces; other columns are not read.
@@ -169,12 +169,13 @@ def pack(
             )
 
     n_groups = max(1, math.ceil(docs.count() / group_docs))
-    pieces = cut_lineage(docs.select("doc_id", "text").mapInArrow(tokens, cut))
+    pieces = docs.select("doc_id", "text").mapInArrow(tokens, cut)
+    pieces = cut_lineage(pieces.withColumn("at", F.monotonically_increasing_id()))  # equal rows go to different groups by it
     columns = [F.col(c) for c in ("doc_id", "start", "length", "ids_crc32", "doc_tokens")]
     whole = pieces.where(F.col("length") == length).select(
         *columns, (F.lit(-1) - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset")
     )
-    group = F.pmod(F.xxhash64("doc_id", "text_crc32", F.lit(seed)), F.lit(n_groups))
+    group = F.pmod(F.xxhash64("doc_id", "text_crc32", "at", F.lit(seed)), F.lit(n_groups))
     rest = pieces.where(F.col("length") < length).select(*columns, group.alias("group"))
     packed = T.StructType([*cut.fields[:5], T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
 

@@ -100,6 +100,13 @@ def test_packing_of_odd_rows(docs, empty):
     assert pack(empty).count() == 0
 
 
+def test_packing_groups_do_not_grow_with_repeated_rows(spark):
+    same = spark.range(3000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("same text").alias("text"))
+    group = F.pmod("sequence_id", F.lit(30))  # 3000 documents in groups of about 100
+    sizes = [r["n"] for r in pack(same, group_docs=100).groupBy(group).agg(F.count("*").alias("n")).collect()]
+    assert sum(sizes) == 3000 and max(sizes) <= 200
+
+
 def test_token_counts_of_odd_rows(docs, empty):
     got = rows(count_tokens(docs), "n_bytes", "n_tokens", "over_limit")
     assert len(got) == len(ODD) and got[0] == (0, 0, False) and got[-1][2]
