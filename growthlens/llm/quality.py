@@ -54,7 +54,8 @@ def fit_quality_model(docs: DataFrame, labels: DataFrame, sample_docs: int = SAM
 
     ``labels`` has doc_id and quality (0 or 1; others are left out).  Class
     counts cover all labels and weigh the sample, so odds follow the whole
-    table.  The sampled labels are the bounded side of a broadcast join.  With a
+    table.  The sampled labels are the bounded side of a broadcast join, and one
+    text of each sampled id (the first by hash) is trained on.  With a
     class missing the model scores every text with the share of class 1 (1 if
     there are no labels at all).
     """
@@ -79,6 +80,9 @@ def fit_quality_model(docs: DataFrame, labels: DataFrame, sample_docs: int = SAM
             F.element_at(sampled_passages(SHORT, 1), 1).alias("short"),
             F.xxhash64("text").alias("order"),
         )
+        .groupBy("doc_id")  # one text of an id, so that the rows are bounded as the labels are
+        .agg(F.min(F.struct("order", "quality", "passages", "short")).alias("first"))
+        .select("doc_id", "first.*")
         .orderBy("order", "doc_id")  # copies of a text in one order, so that every run trains the same model
         .collect()
     )

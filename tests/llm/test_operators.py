@@ -340,3 +340,13 @@ def test_scores_do_not_depend_on_neighbouring_rows():
     for behind in ("zzzz", "Q", "\x01\x02\x03", ""):
         mixed = [x for t in texts for x in (t, behind)]
         assert np.allclose(model.document_logits(mixed)[::2], alone, rtol=0, atol=1e-6)
+
+
+def test_repeated_rows_do_not_grow_the_quality_sample(spark):
+    data = [(i, f"{'good' if i % 2 else 'poor'} words of document {i} " * 4, None, None, None) for i in range(60)]
+    frame = spark.createDataFrame(data, DOC)
+    labels = frame.select("doc_id", (F.col("doc_id") % 2).alias("quality"))
+    again = frame.union(frame.where("doc_id = 7").crossJoin(spark.range(300)).drop("id"))
+    one, two = (fit_quality_model(d, labels) for d in (frame, again))
+    assert all((a == b).all() for a, b in zip([*one.network.tables, one.network.weights], [*two.network.tables, two.network.weights], strict=True))
+    assert (one.slope, one.shift) == (two.slope, two.shift)
