@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from growthlens.llm import chat, secrets
+from growthlens.llm.alignment import align
 from growthlens.llm.common import table
 from growthlens.llm.sql import ORACLE
 from growthlens.llm.embedding_dedup import near_duplicate_vectors
@@ -93,6 +94,10 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -114,6 +119,7 @@ QUERIES = {
         op8_minhash_near_dedup,
         op9_packing,
         op10_secret_scan,
+        op13_tokenizer_alignment,
         pipeline,
     )
 }
