@@ -15,6 +15,7 @@ from growthlens.llm.minhash import near_duplicates
 from growthlens.llm.mixing import mix
 from growthlens.llm.nearest import nearest
 from growthlens.llm.packing import pack
+from growthlens.llm.prefix_trie import rebuilt_trie
 from growthlens.llm.quality import fit_quality_model, score_quality
 from growthlens.llm.token_counts import count_tokens
 
@@ -94,6 +95,10 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rebuilt_trie(table(spark, sf_dir, "conversations"))
+
+
 def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align(table(spark, sf_dir, "documents"))
 
@@ -119,6 +124,7 @@ QUERIES = {
         op8_minhash_near_dedup,
         op9_packing,
         op10_secret_scan,
+        op11_prefix_trie,
         op13_tokenizer_alignment,
         pipeline,
     )

@@ -120,9 +120,51 @@ select d.doc_id, coalesce(n_assign, 0)::bigint as n_assign, coalesce(n_access, 0
 from documents d left join joined j on d.doc_id = j.doc_id
 """
 
+# Members by the digests of their turns, chained; subtrees by walking every node's own prefixes.
+OP11 = """
+with t as (
+  select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+         row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), md5(coalesce(text, ''))) - 1 as pos
+  from conversations where conv_id is not null
+), c as (
+  select conv_id, conv_id - conv_id % 5 as base, count(*) as n,
+         xor(list_reduce([ord(x) for x in string_split(conv_id::varchar, '')]::ubigint[],
+           lambda a, b: list_reduce(range(8)::ubigint[], lambda r, i: xor(r >> 1, 3988292384::ubigint * (r & 1)), xor(a, b)),
+           4294967295::ubigint), 4294967295::ubigint) % 9 as h
+  from t group by conv_id
+), r as (
+  select c.conv_id, t.pos, t.role, t.text from c join t on t.conv_id = c.base where t.pos < c.h
+  union all
+  select c.conv_id, t.pos - c.h + least(c.h, coalesce(b.n, 0)), t.role, t.text
+  from c join t on t.conv_id = c.conv_id left join c b on b.conv_id = c.base where t.pos >= c.h
+), m as (
+  select conv_id, (pos + 1)::bigint as depth, strlen(text) as bytes,
+         md5(string_agg(md5(length(role) || ':' || role || ':' || text), '' order by pos)
+             over (partition by conv_id order by pos rows between unbounded preceding and current row)) as k
+  from r
+  union all select conv_id, 0, 0, '' from c
+), n as (
+  select k, depth, min(conv_id) as conv_id, count(*) as n_convs, min(bytes) as bytes from m group by k, depth
+), p as (
+  select n.k, u.k as parent, un.conv_id as parent_conv_id
+  from n join m u on u.conv_id = n.conv_id and u.depth = n.depth - 1 join n un on un.k = u.k and un.depth = u.depth
+), leaf as (
+  select n.*, (select count(*) from p where p.parent = n.k) as n_children from n
+), s as (
+  select m.k, m.depth, count(*) filter (where l.n_children = 0) as n_leaves, sum((l.n_convs - 1) * l.bytes)::bigint as saved_tokens
+  from leaf l join m on m.conv_id = l.conv_id and m.depth <= l.depth group by m.k, m.depth
+), e as (
+  select k, depth, string_agg(conv_id::varchar, ',' order by conv_id) as ids
+  from m where depth = (select max(depth) from m x where x.conv_id = m.conv_id) group by k, depth
+)
+select l.conv_id, l.depth, p.parent_conv_id, l.n_convs, l.n_children, s.n_leaves, s.saved_tokens, sha256(coalesce(e.ids, '')) as ends_sha256
+from leaf l join s on s.k = l.k and s.depth = l.depth left join p on p.k = l.k left join e on e.k = l.k and e.depth = l.depth
+"""
+
 ORACLE = {
     "op1_embedding_near_dedup": OP1,
     "op5_chat_formatting": OP5,
     "op7_source_mixing": OP7,
     "op10_secret_scan": OP10,
+    "op11_prefix_trie": OP11,
 }
