@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from growthlens.llm import chat, secrets
+from growthlens.llm import chat, pii, secrets
 from growthlens.llm.alignment import align
 from growthlens.llm.common import table
 from growthlens.llm.sql import ORACLE
@@ -99,6 +99,17 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rebuilt_trie(table(spark, sf_dir, "conversations"))
 
 
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = pii.find_personal_data(docs, pii.fit_span_model(docs))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    digest = F.sha2(pii.joined(F.col("base")).cast("binary"), 256).alias("base_sha256")
+    return found.select("doc_id", *map(count, pii.KINDS), digest, pii.joined(F.col("spans")).alias("spans"))
+
+
 def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align(table(spark, sf_dir, "documents"))
 
@@ -125,6 +136,7 @@ QUERIES = {
         op9_packing,
         op10_secret_scan,
         op11_prefix_trie,
+        op12_personal_data,
         op13_tokenizer_alignment,
         pipeline,
     )
