@@ -1,7 +1,4 @@
 from growthlens.functions.columns import (
-    EXACT_SUM,
-    exact_avg,
-    exact_sum,
     flag,
     double_or_zero,
     strict_date,
@@ -11,11 +8,10 @@ from growthlens.functions.columns import (
     ratio,
     week_start,
 )
+from growthlens.functions.exact import exact_totals
 
 __all__ = [
-    "EXACT_SUM",
-    "exact_avg",
-    "exact_sum",
+    "exact_totals",
     "flag",
     "double_or_zero",
     "strict_date",

@@ -10,17 +10,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
 
 ColumnOrName = Column | str
 
-# Amounts and positions stay doubles, as they are reported; they are added up
-# through a wide decimal, so a sum does not depend on partitioning or row order
-# and no amount is rounded.
-EXACT_SUM = DecimalType(38, 18)
-# Values beyond this size (and NaN and infinities) are added as plain doubles.
-_EXACT_LIMIT = 1e15
-
 # Search-position buckets (inclusive upper bounds) and their labels.
 POSITION_BOUNDS = (3, 10, 20)
 POSITION_LABELS = ("top_3", "page_1", "page_2", "page_3_plus")
@@ -57,24 +49,6 @@ def strict_date(c: ColumnOrName) -> Column:
     return F.coalesce(text.try_cast("date"), F.when(text.isNotNull(), bad))
 
 
-def exact_sum(c: ColumnOrName) -> Column:
-    """Sum of a double column through a wide decimal: independent of the order of rows.
-
-    Values that the decimal cannot hold (NaN, infinities, beyond 1e15) are added as
-    doubles, so NaN and infinities propagate.
-    """
-    value = _c(c).cast("double")
-    fits = F.abs(value) < F.lit(_EXACT_LIMIT)
-    exact = F.sum(F.when(fits, value).try_cast(EXACT_SUM)).cast("double")
-    rest = F.sum(F.when(~fits, value))
-    return F.coalesce(rest + F.coalesce(exact, F.lit(0.0)), exact)
-
-
-def exact_avg(c: ColumnOrName) -> Column:
-    """Unweighted mean of a double column, summed exactly, NULLs skipped."""
-    return F.try_divide(exact_sum(c), F.count(_c(c)).cast("double"))
-
-
 def flag(c: ColumnOrName, value: str) -> Column:
     """``c = value`` as a strict boolean: NULL compares as false, never NULL."""
     return F.coalesce(_c(c) == F.lit(value), F.lit(False))

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from growthlens.functions import exact_avg, exact_sum, ratio
+from growthlens.functions import exact_totals, ratio
 from growthlens.operators.marts import AVG_ORDER_VALUE, FUNNEL_COUNTS
 
 col = F.col
@@ -37,26 +37,17 @@ def ordered(name: str, mart: DataFrame) -> DataFrame:
     return mart.orderBy(*keys)
 
 
-def _spend_sum(c: str = "total_spend") -> Column:
-    return exact_sum(c)
-
-
 def exec_overview_daily(mart_acquisition: DataFrame) -> DataFrame:
     """Per day across ad platforms: spend, conversions, CAC (ratio of sums)."""
-    daily = mart_acquisition.groupBy("date").agg(
-        _spend_sum().alias("total_spend"),
-        F.sum("total_conversions").alias("total_conversions"),
-    )
+    spend, counts = {"total_spend": col("total_spend")}, {"total_conversions": col("total_conversions")}
+    daily = exact_totals(mart_acquisition, ["date"], spend, counts)
     return daily.select("date", "total_spend", "total_conversions", ratio("total_spend", "total_conversions").alias("cac"))
 
 
 def channel_cac(mart_acquisition: DataFrame, avg_order_value: float = AVG_ORDER_VALUE) -> DataFrame:
     """Per ad platform over the whole period: spend, clicks, conversions, CAC, ROAS."""
-    totals = mart_acquisition.groupBy("channel").agg(
-        _spend_sum().alias("total_spend"),
-        F.sum("total_clicks").alias("total_clicks"),
-        F.sum("total_conversions").alias("total_conversions"),
-    )
+    counts = {c: col(c) for c in ("total_clicks", "total_conversions")}
+    totals = exact_totals(mart_acquisition, ["channel"], {"total_spend": col("total_spend")}, counts)
     return totals.select(
         "channel",
         "total_spend",
@@ -76,16 +67,19 @@ def retention_milestones(mart_retention: DataFrame, milestones: Sequence[int] =
     return mart_retention.groupBy("cohort_date").agg(F.max("cohort_size").alias("cohort_size"), *rates)
 
 
+# Estimates are whole numbers unless the constants they are made with are not.
+_ESTIMATES = ("estimated_revenue_eur", "estimated_mrr_eur", "estimated_ltv_eur")
+
+
+def _is_double(df: DataFrame, c: str) -> bool:
+    return df.schema[c].dataType.typeName() in ("double", "float", "decimal")
+
+
 def revenue_by_channel(mart_revenue: DataFrame) -> DataFrame:
     """Per channel: MRR, LTV, LTV:CAC (aggregate LTV over CAC of the period), mean payback."""
-    totals = mart_revenue.groupBy("channel").agg(
-        _spend_sum().alias("total_spend"),
-        F.sum("total_conversions").alias("total_conversions"),
-        F.sum("estimated_revenue_eur").alias("estimated_revenue_eur"),
-        F.sum("estimated_mrr_eur").alias("estimated_mrr_eur"),
-        F.sum("estimated_ltv_eur").alias("estimated_ltv_eur"),
-        exact_avg("cac_payback_months").alias("avg_cac_payback_months"),
-    )
+    whole = ("total_conversions", *(c for c in _ESTIMATES if not _is_double(mart_revenue, c)))
+    doubles = ("total_spend", "cac_payback_months", *(c for c in _ESTIMATES if c not in whole))
+    totals = exact_totals(mart_revenue, ["channel"], {c: col(c) for c in doubles}, {c: col(c) for c in whole})
     cac = ratio("total_spend", "total_conversions")
     return totals.select(
         "channel",
@@ -96,7 +90,7 @@ def revenue_by_channel(mart_revenue: DataFrame) -> DataFrame:
         "estimated_ltv_eur",
         cac.alias("cac"),
         ratio("estimated_ltv_eur", cac).alias("ltv_cac_ratio"),
-        "avg_cac_payback_months",
+        ratio("cac_payback_months", "cac_payback_months_count").alias("avg_cac_payback_months"),
     )
 
 

@@ -1,10 +1,11 @@
 """Monday-to-Sunday KPI summaries and week-over-week changes.
 
 The original brief queried three marts for one week at a time (six serial
-queries per run).  Here every week is computed at once: the three marts are
-projected onto one union, tagged by column, and aggregated by ``week_start`` in
-a single shuffle of week-grain partials.  The single-week form (``as_of``,
-``week_offset``) is the same aggregate over a date-filtered union.
+queries per run).  Here every week is computed at once, in long form: each mart
+row becomes a row per KPI input (week, metric, value), one narrow aggregation by
+week and metric serves all KPIs, and only the finished values, a row per week
+and KPI, are gathered into wide rows.  The single-week form (``as_of``,
+``week_offset``) is the same over date-filtered marts.
 
 Rules kept on purpose: weekly averages are unweighted means of daily ratios
 (NULLs skipped); SQL-style rounding (half away from zero) of each KPI; a KPI
@@ -20,11 +21,11 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from growthlens.functions import exact_avg, exact_sum, pct_change, week_start
+from growthlens.functions import exact_totals, pct_change, ratio, week_start
 
 col = F.col
 
-# KPI families and the direction in which a change is good.
+# Fixed values (this and the two tables below): KPI families and the direction in which a change is good.
 ACQUISITION_FAMILY = "acquisition/paid"
 ACTIVATION_FAMILY = "retention/activation"
 ORGANIC_FAMILY = "organic/referral"
@@ -32,14 +33,13 @@ LOWER_IS_BETTER = "lower"
 HIGHER_IS_BETTER = "higher"
 NEUTRAL = "neutral"
 
-# KPI -> (family, source column in the tagged union, aggregate kind, scale,
-# decimals, output type).  "avg" = SQL-rounded mean of daily values, "sum" =
+# KPI -> (family, mart column, aggregate kind, scale, decimals, output type).  "avg" = SQL-rounded mean of daily values, "sum" =
 # integer total, "money" = exact total rounded to cents.
 KPI_SPECS: dict[str, tuple[str, str, str, float, int, str]] = {
     "avg_cac": (ACQUISITION_FAMILY, "cac", "avg", 1.0, 2, "double"),
     "avg_roas": (ACQUISITION_FAMILY, "roas", "avg", 1.0, 2, "double"),
-    "total_spend": (ACQUISITION_FAMILY, "spend", "money", 1.0, 2, "double"),
-    "total_conversions": (ACQUISITION_FAMILY, "conversions", "sum", 1.0, 0, "bigint"),
+    "total_spend": (ACQUISITION_FAMILY, "total_spend", "money", 1.0, 2, "double"),
+    "total_conversions": (ACQUISITION_FAMILY, "total_conversions", "sum", 1.0, 0, "bigint"),
     "avg_ctr_pct": (ACQUISITION_FAMILY, "ctr", "avg", 100.0, 2, "double"),
     "activation_rate_pct": (ACTIVATION_FAMILY, "activation_rate", "avg", 100.0, 2, "double"),
     "churn_rate_pct": (ACTIVATION_FAMILY, "churn_rate", "avg", 100.0, 2, "double"),
@@ -61,71 +61,79 @@ CHANGE_SPECS: dict[str, tuple[str, str]] = {
     "organic_change": ("organic_sessions", HIGHER_IS_BETTER),
 }
 
-_ACQ_COLS = {"cac": "cac", "roas": "roas", "spend": "total_spend", "conversions": "total_conversions", "ctr": "ctr"}
-_ACT_COLS = {"activation_rate": "activation_rate", "churn_rate": "churn_rate", "total_signups": "total_signups"}
-_REF_COLS = {
-    "organic_traffic_share": "organic_traffic_share",
-    "k_factor_estimate": "k_factor_estimate",
-    "organic_sessions": "organic_sessions",
-}
 _ACQ_KPIS = ["avg_cac", "avg_roas", "total_spend", "total_conversions", "avg_ctr_pct"]
 _ACT_KPIS = ["activation_rate_pct", "churn_rate_pct", "total_signups"]
 _REF_KPIS = ["organic_share_pct", "k_factor", "organic_sessions"]
 
 
-def _kpi_agg(kpi: str, only: Column | None = None) -> Column:
-    """Aggregate of ``kpi`` over the union rows (those where ``only`` holds, if given)."""
-    _, source, kind, scale, digits, dtype = KPI_SPECS[kpi]
-    value = col(source) if only is None else F.when(only, col(source))
-    if kind == "avg":
-        mean = exact_avg(value)
-        agg = F.round(mean if scale == 1.0 else mean * F.lit(scale), digits)
-    elif kind == "money":
-        agg = F.round(exact_sum(value), digits)
-    else:
-        agg = F.sum(value)
-    return agg.cast(dtype)
-
-
-def _arm(mart: DataFrame, cols: dict[str, str], start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
+def _inputs(mart: DataFrame, kpis: list[str], start: dt.date | None, end: dt.date | None) -> DataFrame:
+    """(week_start, metric, value, whole) of every row of ``mart`` and each of ``kpis``; counts are ``whole``."""
     if start is not None:
         mart = mart.where(col("date").between(F.lit(start), F.lit(end)))
-    exprs = [week_start("date").alias("week_start")]
-    for out, src in cols.items():
-        exprs.append(col(src).alias(out))
-    return mart.select(*exprs)
+    entries = []
+    for kpi in kpis:
+        _, source, kind, *_ = KPI_SPECS[kpi]
+        value, whole = (F.lit(None), col(source)) if kind == "sum" else (col(source), F.lit(None))
+        entries.append(
+            F.struct(F.lit(kpi).alias("metric"), value.cast("double").alias("value"), whole.cast("bigint").alias("whole"))
+        )
+    return mart.select(week_start("date").alias("week_start"), F.inline(F.array(*entries)))
+
 
+def _finished() -> Column:
+    """The rounded value of a metric from its exact sum and count (NULL for counts)."""
+    forms: dict[tuple[str, float, int], list[str]] = {}
+    for kpi, (_, _, kind, scale, digits, _) in KPI_SPECS.items():
+        if kind != "sum":
+            forms.setdefault((kind, scale, digits), []).append(kpi)
+    out = F.lit(None).cast("double")
+    for (kind, scale, digits), kpis in forms.items():
+        value = col("value") if kind == "money" else ratio("value", "value_count")
+        value = F.round(value if scale == 1.0 else value * F.lit(scale), digits)
+        out = F.when(col("metric").isin(*kpis), value).otherwise(out)
+    return out
 
-def _kpi_union(acq: DataFrame, act: DataFrame, ref: DataFrame, start=None, end=None) -> DataFrame:
-    """The three marts' KPI inputs as one week-tagged relation (missing columns NULL)."""
-    return (
-        _arm(acq, _ACQ_COLS, start, end)
-        .unionByName(_arm(act, _ACT_COLS, start, end), allowMissingColumns=True)
-        .unionByName(_arm(ref, _REF_COLS, start, end), allowMissingColumns=True)
-    )
 
+def _long(arms: list[tuple[DataFrame, list[str]]], start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
+    """(week_start, metric, value, whole): a row per week and KPI of the marts, values finished."""
+    rows = None
+    for mart, kpis in arms:
+        arm = _inputs(mart, kpis, start, end)
+        rows = arm if rows is None else rows.unionByName(arm)
+    totals = exact_totals(rows, ["week_start", "metric"], {"value": col("value")}, {"whole": col("whole")})
+    return totals.select("week_start", "metric", _finished().alias("value"), "whole")
 
-def _rollup(arm: DataFrame, kpis: list[str]) -> DataFrame:
-    return arm.groupBy("week_start").agg(*[_kpi_agg(k).alias(k) for k in kpis])
+
+def _gathered(name: Column) -> Column:
+    """Aggregate: the finished values of a week as one map by ``name``."""
+    return F.map_from_entries(F.collect_list(F.struct(name, F.struct("value", "whole"))))
+
+
+def _from_map(kpi: str, key: str, name: str, zero: bool = False) -> str:
+    """One KPI out of the map ``kpis`` as ``name``; NULL, or 0, if it is not there."""
+    part = "whole" if KPI_SPECS[kpi][2] == "sum" else "value"
+    value = f"try_element_at(kpis, '{key}').{part}"
+    return f"coalesce({value}, cast(0 as {KPI_SPECS[kpi][5]})) as {name}" if zero else f"{value} as {name}"
+
+
+def _rollup(mart: DataFrame, kpis: list[str]) -> DataFrame:
+    weeks = _long([(mart, kpis)]).groupBy("week_start").agg(_gathered(col("metric")).alias("kpis"))
+    return weeks.selectExpr("week_start", *[_from_map(k, k, k) for k in kpis])
 
 
 def weekly_acquisition(mart_acquisition: DataFrame) -> DataFrame:
     """Per week: avg CAC, avg ROAS, spend, conversions, avg CTR %."""
-    return _rollup(_arm(mart_acquisition, _ACQ_COLS), _ACQ_KPIS)
+    return _rollup(mart_acquisition, _ACQ_KPIS)
 
 
 def weekly_activation(mart_activation: DataFrame) -> DataFrame:
     """Per week: avg activation rate %, avg churn rate %, signups."""
-    return _rollup(_arm(mart_activation, _ACT_COLS), _ACT_KPIS)
+    return _rollup(mart_activation, _ACT_KPIS)
 
 
 def weekly_referral(mart_referral: DataFrame) -> DataFrame:
     """Per week: avg organic share %, avg k-factor (4 decimals), organic sessions."""
-    return _rollup(_arm(mart_referral, _REF_COLS), _REF_KPIS)
-
-
-def _zero(kpi: str, c: Column) -> Column:
-    return F.coalesce(c, F.lit(0).cast(KPI_SPECS[kpi][5]))
+    return _rollup(mart_referral, _REF_KPIS)
 
 
 def week_bounds(as_of: dt.date, week_offset: int = 0) -> tuple[dt.date, dt.date]:
@@ -147,15 +155,14 @@ def weekly_kpis(
     With ``as_of``: exactly one row, the week ``week_offset`` weeks before the
     week holding ``as_of`` (all zeros when no mart has rows in it).
     """
+    arms = [(mart_acquisition, _ACQ_KPIS), (mart_activation, _ACT_KPIS), (mart_referral, _REF_KPIS)]
+    kpis = _gathered(col("metric")).alias("kpis")
     if as_of is None:
-        agg = _rollup(_kpi_union(mart_acquisition, mart_activation, mart_referral), KPIS)
+        agg = _long(arms).groupBy("week_start").agg(kpis)
     else:
         start, end = week_bounds(as_of, week_offset)
-        union = _kpi_union(mart_acquisition, mart_activation, mart_referral, start, end)
-        agg = union.agg(*[_kpi_agg(k).alias(k) for k in KPIS]).select(F.lit(start).alias("week_start"), *KPIS)
-    return agg.select(
-        "week_start", F.date_add("week_start", 6).alias("week_end"), *[_zero(k, col(k)).alias(k) for k in KPIS]
-    )
+        agg = _long(arms, start, end).agg(kpis).select(F.lit(start).alias("week_start"), "kpis")
+    return agg.selectExpr("week_start", "date_add(week_start, 6) as week_end", *[_from_map(k, k, k, zero=True) for k in KPIS])
 
 
 def weekly_comparison(
@@ -166,29 +173,28 @@ def weekly_comparison(
 ) -> DataFrame:
     """Each week's KPIs, the previous calendar week's KPIs and the 7 changes.
 
-    No join: every union row is emitted twice (a narrow ``explode``), once for
-    its own week and once tagged "previous" for the following week, so one
-    aggregation by ``week_start`` yields both sides.  Weeks are those with
-    rows of their own (or just the ``as_of`` week).
+    No join: every finished value, a row per week and KPI, is emitted twice,
+    for its own week and as "previous" for the following one, and one grouping
+    by ``week_start`` meets both.  Weeks are those with rows of their own (or
+    just the ``as_of`` week).
     """
+    arms = [(mart_acquisition, _ACQ_KPIS), (mart_activation, _ACT_KPIS), (mart_referral, _REF_KPIS)]
     if as_of is None:
-        union = _kpi_union(mart_acquisition, mart_activation, mart_referral)
+        values = _long(arms)
     else:
         start, end = week_bounds(as_of)
-        union = _kpi_union(mart_acquisition, mart_activation, mart_referral, start - dt.timedelta(days=7), end)
-    shift = F.explode(F.array(F.lit(0), F.lit(7))).alias("shift")
-    both = union.select("*", shift).withColumn("week_start", F.date_add("week_start", col("shift")))
-    current = col("shift") == 0
-    aggs = [F.count_if(current).alias("own_rows")]
-    aggs += [_kpi_agg(k, current).alias(k) for k in KPIS]
-    aggs += [_kpi_agg(k, ~current).alias(f"prev_{k}") for k in KPIS]
+        values = _long(arms, start - dt.timedelta(days=7), end)
+    both = values.select("*", F.explode(F.array(F.lit(0), F.lit(7))).alias("shift"))
+    both = both.withColumn("week_start", F.date_add("week_start", col("shift")))
+    name = F.concat(F.when(col("shift") == 0, "").otherwise("prev_"), col("metric"))
+    kpis = _gathered(name).alias("kpis")
     if as_of is None:
-        agg = both.groupBy("week_start").agg(*aggs).where(col("own_rows") > 0)
+        agg = both.groupBy("week_start").agg(kpis, F.min("shift").alias("nearest")).where(col("nearest") == 0)
     else:
-        agg = both.where(col("week_start") == F.lit(start)).agg(*aggs).select(F.lit(start).alias("week_start"), "*")
-    kpis = [_zero(k, col(k)).alias(k) for k in KPIS]
-    prev = [_zero(k, col(f"prev_{k}")).alias(f"prev_{k}") for k in KPIS]
-    wide = agg.select("week_start", F.date_add("week_start", 6).alias("week_end"), *kpis, *prev)
+        agg = both.where(col("week_start") == F.lit(start)).agg(kpis).select(F.lit(start).alias("week_start"), "kpis")
+    kpis = [_from_map(k, k, k, zero=True) for k in KPIS]
+    prev = [_from_map(k, f"prev_{k}", f"prev_{k}", zero=True) for k in KPIS]
+    wide = agg.selectExpr("week_start", "date_add(week_start, 6) as week_end", *kpis, *prev)
     changes = [pct_change(col(kpi), col(f"prev_{kpi}")).alias(name) for name, (kpi, _) in CHANGE_SPECS.items()]
     return wide.select("week_start", "week_end", *KPIS, *changes)
 
