@@ -19,7 +19,9 @@ SAMPLE_ROWS = 16_384
 SAMPLE_QUERIES = 256
 LIST_ROWS = 1000
 MAX_LISTS = 1024
+# Rows of a block of a list, and queries of a block of those that visit it.
 BLOCK_ROWS = 512
+QUERY_ROWS = 1024
 # Share of the sample's true neighbours that the probed lists must hold.
 PROBE_RECALL = 0.98
 COLUMNS = 16
@@ -104,16 +106,18 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
 
     Nearness is the cosine in double precision of the original vectors, ties to
     the smaller vec_id; rows with the query's own vec_id are no candidates.
+    Only vectors of one length are compared; each length has lists of its own.
     Every row is in the list of its nearest centroid; a query visits the lists
-    that the fit on a bounded sample asks for.  Lists are dealt into blocks, so
-    a list with a large share of all rows is scanned by many tasks, and each
-    block returns its ``k`` best for each query.
+    that the fit on a bounded sample asks for.  The rows of a list and the
+    queries that visit it are both dealt into blocks, so a list with a large
+    share of all rows is scanned by many tasks, none of which holds more than a
+    block of either, and each returns its ``k`` best for each query.
 
     Vectors that are null, zero, or hold nulls or non-finite components, and
-    rows with a null vec_id, take no part; neither do vectors whose length
-    differs from the most frequent one.  Equal vectors are candidates each.  With
-    fewer than ``k`` candidates all are returned; an empty table gives no rows;
-    other columns are not read.
+    rows with a null vec_id, take no part.  Equal vectors are candidates each.  Of
+    query rows with one vec_id the one with the least vector (by its bytes) asks.
+    A query visits as many lists as hold ``k`` others, all if need be, so only
+    with fewer than ``k`` candidates it gets fewer; an empty table gives no rows; other columns are not read.
     """
     spark = vectors.sparkSession
 
@@ -133,43 +137,61 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
     )
     rows = cut_lineage(rows.mapInArrow(clean, "vec_id long, asks boolean, vector binary"))
     schema = "query_id long, rank int, vec_id long, score double"
-    lengths = rows.groupBy(F.length("vector").alias("size")).count().orderBy(F.desc("count"), "size").head()
-    if lengths is None:
+    lengths = rows.groupBy((F.length("vector") / 8).cast("int").alias("dim")).count().collect()  # a row per length
+    total = sum(r["count"] for r in lengths)
+    if not total:
         return spark.createDataFrame([], schema)
-    total, dim = lengths["count"], lengths["size"] // 8
-    rows = rows.where(F.length("vector") == dim * 8)
     draw = F.pmod(F.xxhash64("vec_id", F.lit(17)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sample = rows.where(draw < min(1.0, SAMPLE_ROWS / total)).orderBy(F.xxhash64("vec_id", "vector")).limit(2 * SAMPLE_ROWS)
-    drawn = [r["vector"] for r in sample.select("vector").collect()] or [rows.head()["vector"]]
-    centres, probes = fit_lists(unit(matrix([bytes(x) for x in drawn])), total, k)
-    held = spark.sparkContext.broadcast((centres, probes))
+    sample = rows.where(draw < min(1.0, SAMPLE_ROWS / total)).orderBy(F.xxhash64("vec_id", "vector"), "vec_id").limit(2 * SAMPLE_ROWS)
+    drawn: dict[int, list[bytes]] = {}
+    for r in sample.select("vector").collect():
+        drawn.setdefault(len(r["vector"]) // 8, []).append(bytes(r["vector"]))
+    # a length that the sample does not hold is one list
+    fits = {r["dim"]: fit_lists(unit(matrix(drawn[r["dim"]])), r["count"], k) for r in lengths if r["dim"] in drawn}
+    held = spark.sparkContext.broadcast(fits)
+
+    def order_of(part: pd.DataFrame, dim: int) -> tuple[np.ndarray, int]:
+        """The lists of a length by nearness to each vector, and how many to probe."""
+        if dim not in held.value:
+            return np.zeros((len(part), 1), np.int64), 1
+        centres, probes = held.value[dim]
+        return np.argsort(-(unit(matrix(part["vector"].tolist())) @ centres.T), axis=1, kind="stable"), probes
 
     def assign(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        centres, probes = held.value
         for frame in frames:
-            if len(frame):
-                score = unit(matrix(frame["vector"].tolist())) @ centres.T
-                order = np.argsort(-score, axis=1, kind="stable")
-                visits = [o[:probes].tolist() if asks else [] for o, asks in zip(order, frame["asks"], strict=True)]
-                yield frame[["vec_id", "vector"]].assign(list=order[:, 0], visits=visits)
-
-    listed = cut_lineage(rows.mapInPandas(assign, "vec_id long, vector binary, list int, visits array<int>"))
-    blocks = listed.groupBy("list").agg(F.ceil(F.count("*") / BLOCK_ROWS).alias("blocks"))
-    blocks = F.broadcast(cut_lineage(blocks))  # a row per list: MAX_LISTS at most
-    candidates = listed.join(blocks, "list").select(
-        "list", F.pmod(F.xxhash64("vec_id", "vector"), F.col("blocks")).alias("block"), "vec_id", "vector"
+            for dim, part in frame.groupby(frame["vector"].str.len() // 8):
+                yield part.assign(dim=dim, list=order_of(part, dim)[0][:, 0])
+
+    listed = cut_lineage(rows.mapInPandas(assign, "vec_id long, asks boolean, vector binary, dim int, list int"))
+    sizes = listed.groupBy("dim", "list").agg(F.ceil(F.count("*") / BLOCK_ROWS).alias("blocks"), F.countDistinct("vec_id").alias("ids"))
+    sizes = cut_lineage(sizes)  # a row per list: MAX_LISTS a length at most
+    ids = spark.sparkContext.broadcast({(r["dim"], r["list"]): r["ids"] for r in sizes.collect()})
+
+    def visit(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for dim, part in frame.groupby("dim"):
+                order, probes = order_of(part, dim)
+                # as many lists as the fit asks for, or more until they hold k others
+                seen = np.cumsum(np.array([ids.value.get((dim, x), 0) for x in range(order.shape[1])])[order], axis=1)
+                needed = np.maximum(probes, (seen <= k).sum(axis=1) + 1)
+                yield part[["vec_id", "vector", "dim"]].assign(visits=[o[:n].tolist() for o, n in zip(order, needed, strict=True)])
+
+    asking = listed.where("asks").groupBy("vec_id").agg(F.min(F.struct("vector", "dim")).alias("q")).select("vec_id", "q.*")
+    asking = asking.mapInPandas(visit, "vec_id long, vector binary, dim int, visits array<int>")
+    asking = asking.select(F.col("vec_id").alias("query_id"), F.col("vector").alias("query"), F.col("dim").alias("q_dim"), F.explode("visits").alias("in_list"))
+    asking = cut_lineage(asking)
+    visited = asking.groupBy("q_dim", "in_list").agg(F.ceil(F.count("*") / QUERY_ROWS).alias("query_blocks"))
+    blocks = sizes.join(visited, (F.col("dim") == F.col("q_dim")) & (F.col("list") == F.col("in_list")))
+    blocks = F.broadcast(cut_lineage(blocks.select(F.col("dim").alias("b_dim"), F.col("list").alias("b_list"), "blocks", "query_blocks")))  # MAX_LISTS a length at most
+
+    def every(count: str) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1))
+
+    candidates = listed.join(blocks, (F.col("dim") == F.col("b_dim")) & (F.col("list") == F.col("b_list"))).select(
+        "dim", "list", F.pmod(F.xxhash64("vec_id", "vector"), F.col("blocks")).alias("block"), every("query_blocks").alias("query_block"), "vec_id", "vector"
     )
-    queries = (
-        listed.where(F.size("visits") > 0)
-        .dropDuplicates(["vec_id"])
-        .select("vec_id", "vector", F.explode("visits").alias("list"))
-        .join(blocks, "list")
-        .select(
-            F.col("list").alias("in_list"),
-            F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("in_block"),
-            F.col("vec_id").alias("query_id"),
-            F.col("vector").alias("query"),
-        )
+    queries = asking.join(blocks, (F.col("q_dim") == F.col("b_dim")) & (F.col("in_list") == F.col("b_list"))).select(
+        "q_dim", "in_list", every("blocks").alias("in_block"), F.pmod(F.xxhash64("query_id", "query"), F.col("query_blocks")).alias("in_query_block"), "query_id", "query"
     )
 
     def scan(asking: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
@@ -177,8 +199,8 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
         if not len(asking) or not len(block):
             return empty
         block = block.sort_values("vec_id", kind="stable")
-        turn = rotation(dim, 29)
         c = unit(matrix(block["vector"].tolist()))
+        turn = rotation(c.shape[1], 29)
         ids, turned = block["vec_id"].to_numpy(), c @ turn
         out = []
         for start in range(0, len(asking), 1024):
@@ -195,8 +217,8 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
         return pd.concat(out)
 
     found = (
-        queries.groupBy("in_list", "in_block")
-        .cogroup(candidates.groupBy("list", "block"))
+        queries.groupBy("q_dim", "in_list", "in_block", "in_query_block")
+        .cogroup(candidates.groupBy("dim", "list", "block", "query_block"))
         .applyInPandas(scan, "query_id long, vec_id long, score double")
     )
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
