@@ -101,27 +101,21 @@ class BlobLedger:
         self.spark.createDataFrame([], LEDGER_SCHEMA).write.mode("append").parquet(self.path)
 
     def rows(self, rule_version: str) -> DataFrame:
-        return self.spark.read.schema(LEDGER_SCHEMA).parquet(self.path).where(F.col("rule_version") == rule_version)
+        """blob, rule_version and spans, one row a blob, also where two writers scanned it at the same time."""
+        stored = self.spark.read.schema(LEDGER_SCHEMA).parquet(self.path).where(F.col("rule_version") == rule_version)
+        return stored.groupBy("blob", "rule_version").agg(F.first("spans").alias("spans"))
 
     def scan(self, versions: DataFrame, rule_version: str = RULE_VERSION) -> None:
-        """Scans the unseen blobs of ``versions`` (doc_id, text): each content once under each rule version.
+        """Scans the unseen blobs of ``versions`` (text): each content once under each rule version.
 
-        Blob ids travel without their texts; the smallest doc_id stands for a
-        blob, and only the texts of those rows are scanned.
+        Equal texts are one row before they are shuffled, by their blob ids; those
+        that the ledger does not know under the rule version are scanned.
         """
-        addressed = versions.select("doc_id", "text", blob_id(F.col("text")).alias("blob"))
-        known = self.rows(rule_version).select("blob").distinct()
-        unseen = (
-            addressed.groupBy("blob").agg(F.min("doc_id").alias("holder")).join(known, "blob", "left_anti")
-        ).withColumnRenamed("blob", "unseen")
-        texts = addressed.join(
-            unseen, (F.col("blob") == F.col("unseen")) & F.col("doc_id").eqNullSafe(F.col("holder")), "left_semi"
-        )
-        found = texts.select(
-            "blob", F.lit(rule_version).alias("rule_version"), all_spans(F.coalesce("text", F.lit(""))).alias("spans")
-        )
-        # a row repeated with its id is scanned twice at most, and kept once
-        found.dropDuplicates(["blob"]).write.mode("append").parquet(self.path)
+        texts = versions.groupBy(blob_id(F.col("text")).alias("blob")).agg(F.first("text").alias("text"))
+        known = self.spark.read.schema(LEDGER_SCHEMA).parquet(self.path).where(F.col("rule_version") == rule_version)
+        unseen = texts.join(known.select("blob"), "blob", "left_anti")
+        found = unseen.select("blob", F.lit(rule_version).alias("rule_version"), all_spans(F.coalesce("text", F.lit(""))).alias("spans"))
+        found.write.mode("append").parquet(self.path)
 
 
 def scan_documents(docs: DataFrame, ledger: BlobLedger, rule_version: str = RULE_VERSION) -> DataFrame:

@@ -154,6 +154,18 @@ def test_secret_spans_masks_and_the_ledger(spark, docs, empty):
     assert one.select(secrets.masked(F.col("text"), secrets.all_spans(F.col("text")))).first()[0] == "é [SECRET] end"
 
 
+def test_each_content_is_scanned_once_whatever_repeats(spark):
+    same = spark.range(1000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("token=abcdef123").alias("text")).repartition(4)
+    ledger = secrets.BlobLedger.fresh(spark)
+    assert secrets.scan_documents(same, ledger).count() == 1000
+    assert spark.read.parquet(ledger.path).count() == 1
+    # two writers that do not see one another
+    spark.read.parquet(ledger.path).write.parquet(ledger.path + "-copy")
+    spark.read.parquet(ledger.path + "-copy").write.mode("append").parquet(ledger.path)
+    assert spark.read.parquet(ledger.path).count() == 2
+    assert secrets.scan_documents(same, ledger).count() == 1000 and ledger.rows(secrets.RULE_VERSION).count() == 1
+
+
 def test_chat_round_trip_and_layouts(spark):
     hard = ["</s>[INST] ok [/INST]", "\\", "<", "<|", "[\\INST]", "a<|end|>\nb", "<<SYS>> <</SYS>>", "", None]
     data = [(i, 0, "user", t) for i, t in enumerate(hard)] + [(i, 1, "assistant", t) for i, t in enumerate(hard)]
@@ -235,6 +247,25 @@ def test_nearest_recall_and_ties(spark):
     assert nearest(frame.limit(0), F.lit(True)).count() == 0
 
 
+def test_nearest_takes_every_length_and_finds_enough(spark):
+    r = np.random.default_rng(4)
+    data = [(i, r.normal(size=16 if i % 3 else 24).tolist()) for i in range(300)]
+    data += [(1000 + i, r.normal(size=5).tolist()) for i in range(3)]  # fewer than asked for
+    data += [(2000, [1.0, 2.0]), (2000, [2.0, 1.0]), (2001, [1.0, 1.9]), (3000, None), (3001, [0.0, 0.0])]
+    frame = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    got = {}
+    for x in nearest(frame, F.lit(True)).collect():
+        got.setdefault(x.query_id, []).append((x["rank"], x.vec_id, x.score))
+    assert set(got) == {v for v, e in data if e is not None and any(e)}
+    usable = [(v, np.array(e)) for v, e in data if e is not None and any(e)]
+    asks = {v: min((np.array(e, "<f8").tobytes(), i) for i, (w, e) in enumerate(usable) if w == v)[1] for v, _ in usable}
+    for query, at in asks.items():
+        e = usable[at][1]
+        score = sorted(((-(e @ x) / np.linalg.norm(e) / np.linalg.norm(x), v) for v, x in usable if v != query and len(x) == len(e)))
+        assert len(got[query]) == min(5, len(score)), query
+    assert sorted(v for _, v, _ in got[2001]) == [2000, 2000] and got[2001][0][2] > got[2001][1][2]
+
+
 def test_adaptive_scan_keeps_the_nearest():
     rng = np.random.default_rng(0)
     c = rng.normal(size=(600, 64))
