@@ -3,25 +3,24 @@
 The event cleaner is stateless, so the batch function runs unchanged on a
 streaming DataFrame; ``start_event_cleaning`` appends newly arrived raw event
 files, cleaned, to a date-partitioned table (the file sink's commit log makes
-the append exactly-once across restarts).  ``start_funnel_counts`` keeps the
-daily funnel counts (the activation mart's input) equal to the batch result at
-all times: each micro-batch is stored, and the days it touches are counted
-anew from all stored events and replaced.  There is no watermark, so nothing
-is dropped as late and the newest days are present.
+the append exactly-once across restarts).  ``start_funnel_counts`` and
+``start_cohorts`` add what each micro-batch changes to logs (``plans.incremental``),
+so the activation and retention marts equal the batch result at all times
+without reading old events again.  There is no watermark, so nothing is dropped
+as late and the newest days are present.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from growthlens.operators.marts import daily_funnel_counts
 from growthlens.operators.staging import clean_posthog
+from growthlens.plans.incremental import add_funnel_counts, add_user_days
 from growthlens.sources.schemas import POSTHOG_RAW
 
-col = F.col
-
 
 def clean_event_stream(spark: SparkSession, raw_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Cleaned events from raw event files arriving in ``raw_dir`` (declared schema)."""
@@ -31,26 +30,6 @@ def clean_event_stream(spark: SparkSession, raw_dir: str, max_files_per_trigger:
     return clean_posthog(reader.load(raw_dir))
 
 
-def store_batch(events: DataFrame, batch_id: int, events_dir: str) -> None:
-    """Stores the cleaned events of a micro-batch under its own id, replacing an earlier attempt at it.
-
-    Rows are clustered by day first, so a batch writes a few files per day at
-    most; a large day is split by the adaptive rebalance.
-    """
-    clustered = events.hint("rebalance", col("event_date"))
-    clustered.write.mode("overwrite").partitionBy("event_date").parquet(f"{events_dir}/batch={batch_id}")
-
-
-def refresh_days(spark: SparkSession, batch_id: int, events_dir: str, counts_dir: str) -> None:
-    """Counts the days of one stored batch anew over all stored batches and replaces just those days."""
-    stored = spark.read.option("basePath", events_dir).parquet(f"{events_dir}/batch=*")
-    stored = stored.where(col("batch") <= batch_id)
-    touched = stored.where(col("batch") == batch_id).select("event_date").distinct()
-    counts = daily_funnel_counts(stored.join(touched, "event_date", "left_semi"))
-    writer = counts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy("date").parquet(counts_dir)
-
-
 def _start(df: DataFrame, out_dir: str, checkpoint_dir: str, available_now: bool, processing_time: str | None,
            partition_by: list[str] | None = None) -> StreamingQuery:
     writer = (
@@ -82,6 +61,17 @@ def start_event_cleaning(
     return _start(cleaned, out_dir, checkpoint_dir, available_now, processing_time, partition_by=["event_date"])
 
 
+def _start_batches(
+    stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint_dir: str, available_now: bool, processing_time: str | None
+) -> StreamingQuery:
+    writer = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint_dir)
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    elif processing_time:
+        writer = writer.trigger(processingTime=processing_time)
+    return writer.start()
+
+
 def start_funnel_counts(
     spark: SparkSession,
     raw_dir: str,
@@ -91,23 +81,31 @@ def start_funnel_counts(
     processing_time: str | None = None,
     max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
-    """Keeps ``out_dir``/counts, partitioned by date, equal to the counts of all raw files so far.
+    """Adds the counts of each micro-batch to the log under ``out_dir``; ``funnel_counts_so_far`` reads their sum.
 
-    The cleaned events are kept in ``out_dir``/events by batch.  A batch that is
-    repeated after a failure replaces its own rows, so counts stay exact.
-    ``available_now`` processes what is there and stops; otherwise the query
-    runs continuously on ``processing_time`` triggers.
+    No batch reads earlier events.  A batch that is repeated after a failure
+    replaces its own counts, so the sums stay exact; late files are counted on
+    their own days.  ``available_now`` processes what is there and stops;
+    otherwise the query runs continuously on ``processing_time`` triggers.
     """
-    events_dir, counts_dir = f"{out_dir}/events", f"{out_dir}/counts"
+    stream = clean_event_stream(spark, raw_dir, max_files_per_trigger)
+    return _start_batches(
+        stream, lambda batch, k: add_funnel_counts(batch, out_dir, k), checkpoint_dir, available_now, processing_time
+    )
 
-    def each(batch: DataFrame, batch_id: int) -> None:
-        store_batch(batch, batch_id, events_dir)
-        refresh_days(batch.sparkSession, batch_id, events_dir, counts_dir)
 
+def start_cohorts(
+    spark: SparkSession,
+    raw_dir: str,
+    out_dir: str,
+    checkpoint_dir: str,
+    available_now: bool = True,
+    processing_time: str | None = None,
+    max_files_per_trigger: int | None = None,
+) -> StreamingQuery:
+    """Takes each micro-batch into the cohorts under ``out_dir``; ``retention_so_far`` reads the mart.
+
+    Late files move users to earlier cohorts; a repeated batch changes nothing.
+    """
     stream = clean_event_stream(spark, raw_dir, max_files_per_trigger)
-    writer = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint_dir)
-    if available_now:
-        writer = writer.trigger(availableNow=True)
-    elif processing_time:
-        writer = writer.trigger(processingTime=processing_time)
-    return writer.start()
+    return _start_batches(stream, lambda batch, k: add_user_days(batch, out_dir, k), checkpoint_dir, available_now, processing_time)

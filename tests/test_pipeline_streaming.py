@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from growthlens.catalog import Warehouse
 from growthlens.operators import marts
 from growthlens.plans import build_warehouse
+from growthlens.plans.incremental import funnel_counts_so_far
 from growthlens.sources.io import read_table
 from growthlens.sources.testdata_feeds import feeds_from_testdata, posthog_raw
 from growthlens.streaming import start_funnel_counts
@@ -53,7 +54,7 @@ FUNNEL = ("date", "channel", "total_signups", "total_activations", "total_purcha
 
 
 def _funnel(spark, out_dir):
-    return sorted(rows(spark.read.parquet(f"{out_dir}/counts"), *FUNNEL))
+    return sorted(rows(funnel_counts_so_far(spark, out_dir), *FUNNEL))
 
 
 def test_streaming_funnel_counts_match_batch(spark, tmp_path):
