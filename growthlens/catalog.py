@@ -15,7 +15,8 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from growthlens.operators import marts
+from growthlens.functions import week_start
+from growthlens.operators import distinct, marts
 from growthlens.plans import incremental
 from growthlens.plans.relations import ALL_NAMES, Relations
 from growthlens.session import shared_dir
@@ -84,9 +85,23 @@ class Warehouse(Relations):
         """The retention mart from cohorts that each batch of events changed."""
         return incremental.retention_so_far(self.spark, self._replayed(incremental.add_user_days))
 
+    @cached_property
+    def weekly_active_users(self) -> DataFrame:
+        """Distinct users and distinct signed-up users per week, from stored day-grain bitmaps."""
+        root = f"{shared_dir(self.spark)}/growthlens/active_users/{uuid.uuid4().hex}"
+        days = distinct.store_user_bitmaps(marts.user_active_days(self.stg_posthog, with_signup_flag=True), root)
+        weeks = distinct.distinct_users(days, week_start("date").alias("week_start"))
+        return weeks.withColumnRenamed("users", "active_users").withColumnRenamed("flagged_users", "signup_users")
+
 
 # Registered beside the relations: what is stored and read back.
-STORED_NAMES = ("load_overwrite_roundtrip", "mart_named_table", "mart_activation_incremental", "mart_retention_incremental")
+STORED_NAMES = (
+    "load_overwrite_roundtrip",
+    "mart_named_table",
+    "mart_activation_incremental",
+    "mart_retention_incremental",
+    "weekly_active_users",
+)
 
 
 def _relation(attr: str) -> Callable[[SparkSession, str], DataFrame]:

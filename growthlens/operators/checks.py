@@ -15,7 +15,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 col = F.col
@@ -99,6 +99,35 @@ def run_checks(
     return out.withColumn("passed", col("failures") == 0)
 
 
+class Watched:
+    """Checks counted while tables are written, without reading them again.
+
+    ``watch`` returns the table with its checks' counts observed on the way;
+    ``results`` has the rows of ``run_checks`` once all watched tables were written.
+    """
+
+    def __init__(self, checks: Sequence[Check] | None = None):
+        self.checks = default_checks() if checks is None else list(checks)
+        self.seen: dict[str, Observation] = {}
+
+    def watch(self, model: str, table: DataFrame) -> DataFrame:
+        mine = [c for c in self.checks if c.model == model]
+        if not mine:
+            return table
+        self.seen[model] = Observation(f"checks of {model}")
+        return table.observe(self.seen[model], *[F.count_if(c.failing()).alias(f"f{i}") for i, c in enumerate(mine)])
+
+    def results(self, spark: SparkSession) -> DataFrame:
+        rows = []
+        for model, observed in self.seen.items():
+            counts = observed.get
+            mine = [c for c in self.checks if c.model == model]
+            for i, c in enumerate(mine):
+                failures = int(counts.get(f"f{i}") or 0)  # a table without rows may report nothing
+                rows.append((c.model, c.column, c.test, failures, failures == 0))
+        return spark.createDataFrame(rows, "model string, column_name string, test string, failures bigint, passed boolean")
+
+
 def failing_rows(table: DataFrame, check: Check) -> DataFrame:
     """The rows of ``table`` that fail ``check`` (empty when it passes).
 

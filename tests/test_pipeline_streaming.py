@@ -1,5 +1,7 @@
 """Stored warehouse build and the streaming event path."""
 
+import os
+
 from pyspark.sql import functions as F
 
 from growthlens.catalog import Warehouse
@@ -19,7 +21,7 @@ def _same(a, b):
 
 def test_build_warehouse_matches_lazy_relations(spark, tmp_path):
     paths = build_warehouse(
-        spark, feeds_from_testdata(spark, SF_SMALL), root=str(tmp_path / "wh"), partition_events_by_date=True
+        spark, feeds_from_testdata(spark, SF_SMALL), root=str(tmp_path / "wh"), store_events="by date"
     )
     wh = Warehouse(spark, SF_SMALL)
     for name in ("mart_acquisition", "mart_activation", "mart_retention", "mart_revenue", "mart_referral",
@@ -46,8 +48,27 @@ def test_build_warehouse_default_layout(spark, tmp_path):
     wh = Warehouse(spark, SF_SMALL, channel_map={"facebook": "meta", "instagram": "meta"})
     for name in ("mart_retention", "mart_revenue", "mart_referral", "funnel_daily", "weekly_kpi_long"):
         assert _same(getattr(wh, name), read_table(spark, paths[name])), name
-    # the shared intermediates are the only readers of the stored events
-    assert {"funnel_counts", "user_days"} <= set(paths)
+    # the shared intermediates are the only readers of the events, which are not stored unless asked for
+    assert {"funnel_counts", "user_days"} <= set(paths) and "stg_posthog" not in paths
+
+
+def test_build_counts_its_checks_while_it_writes_and_drops_old_versions(spark, tmp_path):
+    from growthlens.operators import checks
+
+    feeds = feeds_from_testdata(spark, SF_SMALL)
+    root = tmp_path / "wh"
+    for _ in range(3):
+        paths = build_warehouse(spark, feeds, root=str(root))
+    assert _same(Warehouse(spark, SF_SMALL).data_checks, read_table(spark, paths["data_checks"]))
+    for path in paths.values():
+        assert len([p for p in os.listdir(path) if p.startswith("version=")]) == 2, path
+    # failing rows and a table without rows are counted as run_checks counts them
+    data = spark.createDataFrame([("meta", -1.0, None), ("tv", None, 2.0), (None, 1.0, 1.0)], "channel string, cac double, roas double")
+    mine = [c for c in checks.default_checks() if c.model == "mart_acquisition" and c.column in data.columns]
+    for k, table in enumerate((data, data.limit(0), data.repartition(3))):
+        watched = checks.Watched(mine)
+        watched.watch("mart_acquisition", table).write.parquet(str(tmp_path / f"t{k}"))
+        assert _same(checks.run_checks({"mart_acquisition": table}, checks=mine), watched.results(spark))
 
 
 FUNNEL = ("date", "channel", "total_signups", "total_activations", "total_purchases", "total_churns")

@@ -66,10 +66,10 @@ def test_rebuild_replaces_previous_build(spark, tmp_path):
     root = str(tmp_path / "wh")
     feeds = feeds_from_testdata(spark, SF_SMALL)
     # the date-partitioned layout is the one where a partial overwrite could leave stale days
-    first = build_warehouse(spark, feeds, root=root, partition_events_by_date=True)
+    first = build_warehouse(spark, feeds, root=root, store_events="by date")
     smaller = dict(feeds)
     smaller["posthog_raw"] = feeds["posthog_raw"].where("channel = 'organic'")
-    second = build_warehouse(spark, smaller, root=root, partition_events_by_date=True)
+    second = build_warehouse(spark, smaller, root=root, store_events="by date")
     assert first == second
     events = read_table(spark, second["stg_posthog"])
     assert events.count() == events.where("channel = 'organic'").count() > 0
