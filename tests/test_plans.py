@@ -81,5 +81,11 @@ def test_every_query_reads_the_testdata_tables(spark, name):
     elif name == "mart_named_table":
         # reads back, by name, the mart it has just stored from the testdata events
         assert "FileScan parquet" in plan and "growthlens/marts/mart_activation" in plan
+    elif name in ("mart_activation_incremental", "mart_retention_incremental"):
+        # reads back the logs that the batches of testdata events have just added to
+        assert "FileScan parquet" in plan and "growthlens/incremental/" in plan
+    elif name == "weekly_active_users":
+        # reads back the day-grain bitmaps made from the testdata events
+        assert "FileScan parquet" in plan and "growthlens/active_users/" in plan
     else:
         assert re.search(rf"FileScan parquet [^\n]*{re.escape(SF_SMALL)}/\w+\.parquet", plan), name
