@@ -94,7 +94,10 @@ def _coded(vectors: DataFrame) -> DataFrame:
 
 
 def _keyed(nodes: DataFrame, threshold: float) -> DataFrame:
-    """Nodes with the keys of all their tables; group_rows is the size of their (label, length) group."""
+    """Nodes with their packed code, its correction factor and the keys of all their tables.
+
+    group_rows is the size of their (label, length) group.
+    """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -108,11 +111,13 @@ def _keyed(nodes: DataFrame, threshold: float) -> DataFrame:
                     axes = rotation(x.shape[1], turn)[:, place * bits : (place + 1) * bits]
                     signs = x @ axes > 0
                     keys[:, t] = signs @ (1 << np.arange(signs.shape[1]))
+                code, factor = codes_of(rotated(x, ROTATIONS))
+                part = part.assign(code=[c.tobytes() for c in np.packbits(code, axis=1)], factor=factor)
                 yield part.assign(keys=[k.tobytes() for k in keys], tables=[list(map(int, k)) for k in keys])
 
     return nodes.mapInPandas(
         run,
-        "node binary, label string, vector binary, dim int, copies long, group_rows long, keys binary, tables array<int>",
+        "node binary, label string, vector binary, dim int, copies long, group_rows long, code binary, factor double, keys binary, tables array<int>",
     )
 
 
@@ -123,7 +128,8 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = THRESHOLD) ->
     ``threshold`` or more.  Equal vectors of a label are one node that counts
     its copies.  Nodes meet in buckets keyed by bits of their rotated signs, in
     as many tables as BUCKET_RECALL asks for; large buckets are dealt into pairs
-    of blocks.  Within two blocks the codes' estimates pick the pairs whose exact
+    of blocks.  Codes and correction factors are worked out once and stored with
+    the keys.  Within two blocks their estimates pick the pairs whose exact
     cosine is computed, a pair counts in the first table it shares, and what
     leaves a block pair is one row per linked node: its links and its smallest
     neighbour in reach, never the pairs.
@@ -147,7 +153,7 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = THRESHOLD) ->
         content.join(groups, ["label", "dim"]).select("node", "label", "vector", "dim", "copies", "group_rows"), threshold
     )
     keyed = cut_lineage(keyed)
-    placed = keyed.select("label", "dim", "node", "copies", "vector", "keys", F.posexplode("tables").alias("table", "key"))
+    placed = keyed.select("label", "dim", "node", "copies", "vector", "code", "factor", "keys", F.posexplode("tables").alias("table", "key"))
     bucket = ["label", "dim", "table", "key"]
     sizes = placed.groupBy(*bucket).agg(F.ceil(F.count("*") / BLOCK_ROWS).alias("blocks"), F.count("*").alias("n")).where("n > 1")
     dealt = (
@@ -162,11 +168,12 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = THRESHOLD) ->
         table, low, high = (int(frame[c].iat[0]) for c in ("table", "low", "high"))
         frame = frame.reset_index(drop=True)
         x = unit(matrix(frame["vector"].tolist()))
-        turned = rotated(x, ROTATIONS)
         first = np.flatnonzero(frame["block"] == low)
         second = np.flatnonzero(frame["block"] == high)
-        bits, factor = codes_of(turned[first])
-        i, j = np.nonzero(possible_links(bits, factor, turned[second], threshold))
+        packed = np.frombuffer(b"".join(frame["code"].iloc[first]), np.uint8).reshape(len(first), -1)
+        bits = np.unpackbits(packed, axis=1, count=x.shape[1] * ROTATIONS).astype(bool)
+        factor = frame["factor"].to_numpy()[first]
+        i, j = np.nonzero(possible_links(bits, factor, rotated(x[second], ROTATIONS), threshold))
         i, j = first[i], second[j]
         if low == high:
             i, j = i[i < j], j[i < j]
@@ -189,7 +196,7 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = THRESHOLD) ->
         root = local_roots(len(frame), i, j)
         return pd.DataFrame({"a": node[some], "b": node[root[some]], "links": links[some].astype(np.int64)})
 
-    columns = [*bucket, "low", "high", "block", "node", "copies", "vector", "keys"]
+    columns = [*bucket, "low", "high", "block", "node", "copies", "vector", "code", "factor", "keys"]
     found = dealt.select(*columns).groupBy(*bucket, "low", "high").applyInPandas(compare, _LINKS)
     found = cut_lineage(found.groupBy("a", "b").agg(F.sum("links").alias("links")))
     links = found.groupBy("a").agg(F.sum("links").alias("links"))
