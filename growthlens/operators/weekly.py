@@ -206,8 +206,17 @@ def weekly_delta(
     as_of: dt.date | None = None,
 ) -> DataFrame:
     """Week-over-week change (%) of 7 KPIs; 0 where the previous value is 0."""
-    wide = weekly_comparison(mart_acquisition, mart_activation, mart_referral, as_of)
-    return wide.select("week_start", "week_end", *CHANGE_SPECS)
+    return changes_of(weekly_comparison(mart_acquisition, mart_activation, mart_referral, as_of))
+
+
+def kpis_of(comparison: DataFrame) -> DataFrame:
+    """``weekly_kpis`` of all weeks out of a (stored) ``weekly_comparison``."""
+    return comparison.select("week_start", "week_end", *KPIS)
+
+
+def changes_of(comparison: DataFrame) -> DataFrame:
+    """``weekly_delta`` out of a (stored) ``weekly_comparison``."""
+    return comparison.select("week_start", "week_end", *CHANGE_SPECS)
 
 
 def weekly_brief(
@@ -248,7 +257,11 @@ def weekly_kpi_long(
     ``direction`` is good/bad/flat for KPIs with a preferred direction, up/down/flat
     for spend and conversions, NULL for KPIs without a change.
     """
-    wide = weekly_comparison(mart_acquisition, mart_activation, mart_referral, as_of)
+    return long_of(weekly_comparison(mart_acquisition, mart_activation, mart_referral, as_of))
+
+
+def long_of(comparison: DataFrame) -> DataFrame:
+    """``weekly_kpi_long`` out of a (stored) ``weekly_comparison``."""
     by_kpi = {kpi: (name, polarity) for name, (kpi, polarity) in CHANGE_SPECS.items()}
     entries = []
     for kpi in KPIS:
@@ -267,4 +280,4 @@ def weekly_kpi_long(
                 direction.alias("direction"),
             )
         )
-    return wide.select("week_start", F.inline(F.array(*entries)))
+    return comparison.select("week_start", F.inline(F.array(*entries)))

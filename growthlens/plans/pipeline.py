@@ -20,8 +20,9 @@ Physical choices:
 * The other five staging relations are read by one mart each, so they stay
   lazy views (their filters and projections fuse into the mart's scan).
 * Marts are written as full-replace tables; the revenue mart reads the stored
-  acquisition mart, and the weekly KPIs and dashboard datasets read the stored
-  marts (all tiny, day/cohort grain).  The data checks are counted while the
+  acquisition mart, and the weekly comparison and dashboard datasets read the
+  stored marts (all tiny, day/cohort grain); the weekly KPIs, changes and long
+  form are projections of the stored comparison.  The data checks are counted while the
   marts are written.
 * Once a build has succeeded, all but the newest two versions of each table are
   dropped: the one just written and the one that readers may still hold.
@@ -103,9 +104,10 @@ def build_warehouse(
         if failed:
             raise ValueError("data checks failed: " + "; ".join(failed))
 
-    store("weekly_kpis", weekly.weekly_kpis(acq, act, ref), "weekly")
-    store("weekly_delta", weekly.weekly_delta(acq, act, ref), "weekly")
-    store("weekly_kpi_long", weekly.weekly_kpi_long(acq, act, ref), "weekly")
+    comparison = store("weekly_comparison", weekly.weekly_comparison(acq, act, ref), "weekly")
+    store("weekly_kpis", weekly.kpis_of(comparison), "weekly")
+    store("weekly_delta", weekly.changes_of(comparison), "weekly")
+    store("weekly_kpi_long", weekly.long_of(comparison), "weekly")
 
     dashboards = {
         "exec_overview_daily": serving.exec_overview_daily(acq),
