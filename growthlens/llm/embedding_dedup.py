@@ -50,20 +50,57 @@ def codes_of(turned: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return bits, np.abs(turned).sum(axis=1) / math.sqrt(turned.shape[1])
 
 
-def possible_links(bits: np.ndarray, factor: np.ndarray, other: np.ndarray, threshold: float) -> np.ndarray:
+def possible_links(
+    bits: np.ndarray, factor: np.ndarray, other: np.ndarray, threshold: float, loss: np.ndarray | float = 0.0
+) -> np.ndarray:
     """Which pairs (code, other vector) may reach ``threshold``.
 
     code . other / factor estimates the inner product without bias; its error
     shrinks with the code length, and a pair is given up only if the estimate
-    lies CONFIDENCE standard errors below the threshold.
+    lies CONFIDENCE standard errors below the threshold.  ``loss`` is the length of
+    what the other vectors lack if they were rounded; it bounds the estimate's
+    shift and is allowed in full.
     """
     length = bits.shape[1]
     signs = np.where(bits, np.float32(1), np.float32(-1)) / np.float32(math.sqrt(length))
-    estimate = (signs @ other.T.astype(np.float32)) / factor[:, None].astype(np.float32)
+    estimate = (signs @ other.T.astype(np.float32) + np.float32(loss)) / factor[:, None].astype(np.float32)
     error = CONFIDENCE * np.sqrt((1 - np.minimum(factor, 1) ** 2) / factor**2 / (length - 1 or 1))
     return estimate >= (threshold - error)[:, None].astype(np.float32)
 
 
+def sketches(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Unit vectors rounded to a byte a component, the step of each, and the length of what rounding took."""
+    step = np.abs(vectors).max(axis=1) / 127
+    small = np.rint(vectors / step[:, None]).astype(np.int8)
+    return small, step, np.linalg.norm(vectors - small * step[:, None], axis=1)
+
+
+def _sign_bits(frame: pd.DataFrame, rows: np.ndarray, dim: int) -> np.ndarray:
+    packed = np.frombuffer(b"".join(frame["code"].iloc[rows]), np.uint8).reshape(len(rows), -1)
+    return np.unpackbits(packed, axis=1, count=dim * ROTATIONS).astype(bool)
+
+
+def _sides(frame: pd.DataFrame) -> tuple[int, np.ndarray, np.ndarray]:
+    """The table of a pair of blocks, and the rows of either block."""
+    table, low, high = (int(frame[c].iat[0]) for c in ("table", "low", "high"))
+    return table, np.flatnonzero(frame["block"] == low), np.flatnonzero(frame["block"] == high)
+
+
+def _once(frame: pd.DataFrame, table: int, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of rows that share no bucket of an earlier table; of a pair within one block, one order."""
+    if frame["block"].iat[0] == frame["with"].iat[0]:
+        i, j = i[i < j], j[i < j]
+    if table and len(i):
+        width = int(frame["key_bytes"].iat[0])
+        keys = np.frombuffer(b"".join(frame["keys"]), f"<u{width}").reshape(len(frame), -1)[:, :table]
+        new = np.ones(len(i), bool)
+        for at in range(0, len(i), 1 << 18):
+            part = slice(at, at + (1 << 18))
+            new[part] = ~(keys[i[part]] == keys[j[part]]).any(axis=1)
+        i, j = i[new], j[new]
+    return i, j
+
+
 _CODED = "vec_id long, label string, node binary, vector binary"
 _LINKS = "a binary, b binary, links long"
 
@@ -94,9 +131,11 @@ def _coded(vectors: DataFrame) -> DataFrame:
 
 
 def _keyed(nodes: DataFrame, threshold: float) -> DataFrame:
-    """Nodes with their packed code, its correction factor and the keys of all their tables.
+    """Nodes with what their buckets exchange, worked out once.
 
-    group_rows is the size of their (label, length) group.
+    That is the packed code, its correction factor, the vector rounded to bytes
+    (sketch, step, loss) and the keys of all their tables, each in as few bytes
+    as hold it.  group_rows is the size of their (label, length) group.
     """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -105,19 +144,30 @@ def _keyed(nodes: DataFrame, threshold: float) -> DataFrame:
                 bits, tables = bucket_plan(int(rows), threshold)
                 x = unit(matrix(part["vector"].tolist()))
                 per_turn = x.shape[1] // bits if bits and x.shape[1] >= bits else 1
-                keys = np.zeros((len(part), tables), np.int32)
+                width = 1 if bits <= 8 else 2 if bits <= 16 else 4
+                keys = np.zeros((len(part), tables), f"<u{width}")
                 for t in range(tables if bits else 0):
                     turn, place = divmod(t, per_turn)
                     axes = rotation(x.shape[1], turn)[:, place * bits : (place + 1) * bits]
                     signs = x @ axes > 0
                     keys[:, t] = signs @ (1 << np.arange(signs.shape[1]))
                 code, factor = codes_of(rotated(x, ROTATIONS))
-                part = part.assign(code=[c.tobytes() for c in np.packbits(code, axis=1)], factor=factor)
-                yield part.assign(keys=[k.tobytes() for k in keys], tables=[list(map(int, k)) for k in keys])
+                small, step, loss = sketches(x)
+                yield part.assign(
+                    code=[c.tobytes() for c in np.packbits(code, axis=1)],
+                    factor=factor,
+                    sketch=[v.tobytes() for v in small],
+                    step=step,
+                    loss=loss,
+                    key_bytes=width,
+                    keys=[k.tobytes() for k in keys],
+                    tables=[list(map(int, k)) for k in keys],
+                )
 
     return nodes.mapInPandas(
         run,
-        "node binary, label string, vector binary, dim int, copies long, group_rows long, code binary, factor double, keys binary, tables array<int>",
+        "node binary, label string, vector binary, dim int, copies long, group_rows long, code binary, factor double,"
+        " sketch binary, step double, loss double, key_bytes int, keys binary, tables array<int>",
     )
 
 
@@ -128,11 +178,12 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = THRESHOLD) ->
     ``threshold`` or more.  Equal vectors of a label are one node that counts
     its copies.  Nodes meet in buckets keyed by bits of their rotated signs, in
     as many tables as BUCKET_RECALL asks for; large buckets are dealt into pairs
-    of blocks.  Codes and correction factors are worked out once and stored with
-    the keys.  Within two blocks their estimates pick the pairs whose exact
-    cosine is computed, a pair counts in the first table it shares, and what
-    leaves a block pair is one row per linked node: its links and its smallest
-    neighbour in reach, never the pairs.
+    of blocks.  Codes, correction factors and vectors rounded to bytes are worked
+    out once and stored with the keys; only they go to the buckets.  Within two
+    blocks the estimates pick the nodes that may link there, and the vectors of
+    these alone follow, for the exact cosines of the pairs left open.  A pair
+    counts in the first table it shares, and what leaves a block pair is one row
+    per node, its links and its smallest neighbour in reach, never the pairs.
 
     Vectors that are null, zero, or hold nulls or non-finite components, and
     rows with a null label, link with nothing: n_links 0, component_id their own
@@ -153,7 +204,8 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = THRESHOLD) ->
         content.join(groups, ["label", "dim"]).select("node", "label", "vector", "dim", "copies", "group_rows"), threshold
     )
     keyed = cut_lineage(keyed)
-    placed = keyed.select("label", "dim", "node", "copies", "vector", "code", "factor", "keys", F.posexplode("tables").alias("table", "key"))
+    exchanged = ["node", "code", "factor", "sketch", "step", "loss", "key_bytes", "keys"]
+    placed = keyed.select("label", "dim", *exchanged, F.posexplode("tables").alias("table", "key"))
     bucket = ["label", "dim", "table", "key"]
     sizes = placed.groupBy(*bucket).agg(F.ceil(F.count("*") / BLOCK_ROWS).alias("blocks"), F.count("*").alias("n")).where("n > 1")
     dealt = (
@@ -163,27 +215,30 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = THRESHOLD) ->
         .withColumn("low", F.least("block", "with"))
         .withColumn("high", F.greatest("block", "with"))
     )
+    place = [*bucket, "low", "high", "block", "with"]
+    together = [*bucket, "low", "high"]
+
+    def sift(frame: pd.DataFrame) -> pd.DataFrame:
+        """The nodes of two blocks that may link there, by codes and rounded vectors."""
+        table, first, second = _sides(frame)
+        dim = int(frame["dim"].iat[0])
+        small = np.frombuffer(b"".join(frame["sketch"].iloc[second]), np.int8).reshape(len(second), -1)
+        other = small * frame["step"].to_numpy()[second, None]
+        loss = frame["loss"].to_numpy()[second]
+        factor = frame["factor"].to_numpy()[first]
+        i, j = np.nonzero(possible_links(_sign_bits(frame, first, dim), factor, rotated(other, ROTATIONS), threshold, loss))
+        i, j = _once(frame, table, first[i], second[j])
+        some = np.zeros(len(frame), bool)
+        some[i] = some[j] = True
+        return frame.loc[some, [*place, "node"]]
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
-        table, low, high = (int(frame[c].iat[0]) for c in ("table", "low", "high"))
-        frame = frame.reset_index(drop=True)
+        """Links of the nodes of two blocks by exact cosines."""
+        table, first, second = _sides(frame)
         x = unit(matrix(frame["vector"].tolist()))
-        first = np.flatnonzero(frame["block"] == low)
-        second = np.flatnonzero(frame["block"] == high)
-        packed = np.frombuffer(b"".join(frame["code"].iloc[first]), np.uint8).reshape(len(first), -1)
-        bits = np.unpackbits(packed, axis=1, count=x.shape[1] * ROTATIONS).astype(bool)
         factor = frame["factor"].to_numpy()[first]
-        i, j = np.nonzero(possible_links(bits, factor, rotated(x[second], ROTATIONS), threshold))
-        i, j = first[i], second[j]
-        if low == high:
-            i, j = i[i < j], j[i < j]
-        if table and len(i):
-            keys = np.frombuffer(b"".join(frame["keys"]), np.int32).reshape(len(frame), -1)[:, :table]
-            new = np.ones(len(i), bool)
-            for at in range(0, len(i), 1 << 18):
-                part = slice(at, at + (1 << 18))
-                new[part] = ~(keys[i[part]] == keys[j[part]]).any(axis=1)
-            i, j = i[new], j[new]
+        i, j = np.nonzero(possible_links(_sign_bits(frame, first, x.shape[1]), factor, rotated(x[second], ROTATIONS), threshold))
+        i, j = _once(frame, table, first[i], second[j])
         linked = np.zeros(len(i), bool)
         for at in range(0, len(i), 1 << 16):
             part = slice(at, at + (1 << 16))
@@ -196,8 +251,12 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = THRESHOLD) ->
         root = local_roots(len(frame), i, j)
         return pd.DataFrame({"a": node[some], "b": node[root[some]], "links": links[some].astype(np.int64)})
 
-    columns = [*bucket, "low", "high", "block", "node", "copies", "vector", "code", "factor", "keys"]
-    found = dealt.select(*columns).groupBy(*bucket, "low", "high").applyInPandas(compare, _LINKS)
+    sifted = dealt.select(*place, *exchanged).groupBy(*together).applyInPandas(
+        sift, "label string, dim int, table int, key int, low long, high long, block long, with long, node binary"
+    )
+    exact = keyed.select(F.col("node").alias("n"), "vector", "copies", "code", "factor", "key_bytes", "keys")
+    open_ = cut_lineage(sifted).join(exact, F.col("node") == F.col("n")).drop("n")
+    found = open_.groupBy(*together).applyInPandas(compare, _LINKS)
     found = cut_lineage(found.groupBy("a", "b").agg(F.sum("links").alias("links")))
     links = found.groupBy("a").agg(F.sum("links").alias("links"))
     roots = connected_components(found.where("a <> b").select("a", "b"))

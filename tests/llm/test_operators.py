@@ -13,7 +13,8 @@ from tokenizers import Tokenizer
 
 from growthlens.llm import chat, secrets
 from growthlens.llm.byte_cnn import ByteCNN
-from growthlens.llm.embedding_dedup import near_duplicate_vectors
+from growthlens.llm.common import local_roots
+from growthlens.llm.embedding_dedup import codes_of, near_duplicate_vectors, possible_links, rotated, sketches
 from growthlens.llm.language_id import fit_language_model, identify_languages
 from growthlens.llm.minhash import near_duplicates
 from growthlens.llm.mixing import mix
@@ -229,6 +230,38 @@ def test_linked_vectors_equal_brute_force(spark):
     assert near_duplicate_vectors(frame.limit(0)).count() == 0
 
 
+def test_links_across_tables_and_blocks_equal_brute_force(spark):
+    rng = np.random.default_rng(11)
+    near = rng.normal(size=24)
+    x = np.concatenate([rng.normal(size=(1400, 24)), near + rng.normal(size=(700, 24)) * 0.22])
+    x = np.concatenate([x, x[:200] + rng.normal(size=(200, 24)) * 0.3]).astype(np.float32).astype(np.float64)
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    linked = u @ u.T >= 0.93
+    np.fill_diagonal(linked, False)
+    i, j = np.nonzero(linked)
+    root = local_roots(len(x), i, j)
+    frame = spark.createDataFrame([(k, v.tolist(), 7) for k, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    got = near_duplicate_vectors(frame).orderBy("vec_id").collect()
+    assert [r.n_links for r in got] == linked.sum(axis=1).tolist()
+    assert [r.component_id for r in got] == root.tolist()
+
+
+def test_rounded_vectors_give_up_no_pair_that_links():
+    rng = np.random.default_rng(12)
+    a = rng.normal(size=(400, 48))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b = a + rng.normal(size=a.shape) * 0.045
+    b /= np.linalg.norm(b, axis=1, keepdims=True)
+    bits, factor = codes_of(rotated(a, 2))
+    small, step, loss = sketches(b)
+    lost = np.linalg.norm(b - small * step[:, None], axis=1)
+    assert np.allclose(lost, loss) and small.dtype == np.int8
+    open_ = possible_links(bits, factor, rotated(small * step[:, None], 2), 0.93, loss)
+    truth = a @ b.T >= 0.93
+    assert truth.sum() > 300 and open_[truth].all()
+    assert open_.mean() < 0.05
+
+
 def test_nearest_recall_and_ties(spark):
     data, frame = vectors(spark)
     good = [(i, np.array(e, np.float64)) for i, e, _ in data if i < 900 or i == 903]
