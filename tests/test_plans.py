@@ -87,5 +87,9 @@ def test_every_query_reads_the_testdata_tables(spark, name):
     elif name == "weekly_active_users":
         # reads back the day-grain bitmaps made from the testdata events
         assert "FileScan parquet" in plan and "growthlens/active_users/" in plan
+    elif name in ("mart_revenue_rebuilt_days", "mart_referral_rebuilt_days", "weekly_delta_stored"):
+        # reads back the months of the marts rebuilt from the testdata feeds; the report only those of its weeks
+        assert "FileScan parquet" in plan and "growthlens/daily/" in plan
+        assert ("PartitionFilters: [isnotnull(month" in plan) == (name == "weekly_delta_stored")
     else:
         assert re.search(rf"FileScan parquet [^\n]*{re.escape(SF_SMALL)}/\w+\.parquet", plan), name
