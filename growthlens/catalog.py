@@ -94,16 +94,20 @@ class Warehouse(Relations):
         return weeks.withColumnRenamed("users", "active_users").withColumnRenamed("flagged_users", "signup_users")
 
 
-    def _rebuilt(self, *names: str) -> str:
-        """Stores the marts ``names`` from feeds that lack rows of some days, then rebuilds the days that change; returns the root."""
+    def _rebuilt(self, *names: str, changes: bool = True) -> str:
+        """Stores the marts ``names`` by month; returns the root.
+
+        With ``changes`` from feeds that lack rows of some days first, then the days that change are rebuilt.
+        """
         root = f"{shared_dir(self.spark)}/growthlens/daily/{uuid.uuid4().hex}"
         feeds = {f: getattr(self, f) for f in daily.FEED_DAYS if any(f in daily.MART_FEEDS[m] for m in names)}
-        early = {}
-        for feed, df in feeds.items():
-            day = F.dayofmonth(daily.FEED_DAYS[feed][0])
-            kept = ~day.isin(3, 17) & ((day != 9) | (F.pmod(F.xxhash64(*df.columns), F.lit(5)) > 0))
-            early[feed] = df.where(F.coalesce(kept, F.lit(False)))
-        daily.rebuild(early, root, names, **self.mart_params)
+        if changes:
+            early = {}
+            for feed, df in feeds.items():
+                day = F.dayofmonth(daily.FEED_DAYS[feed][0])
+                kept = ~day.isin(3, 17) & ((day != 9) | (F.pmod(F.xxhash64(*df.columns), F.lit(5)) > 0))
+                early[feed] = df.where(F.coalesce(kept, F.lit(False)))
+            daily.rebuild(early, root, names, **self.mart_params)
         daily.rebuild(feeds, root, names, **self.mart_params)
         return root
 
@@ -119,8 +123,9 @@ class Warehouse(Relations):
 
     @cached_property
     def weekly_delta_stored(self) -> DataFrame:
-        """The week of AS_OF against the week before, from the months of the stored and rebuilt marts that hold them."""
-        return daily.weekly_delta_of_stored(self.spark, self._rebuilt("mart_acquisition", "mart_activation", "mart_referral"), AS_OF)
+        """The week of AS_OF against the week before, from the months of the stored marts that hold them."""
+        root = self._rebuilt("mart_acquisition", "mart_activation", "mart_referral", changes=False)
+        return daily.weekly_delta_of_stored(self.spark, root, AS_OF)
 
 
 # Registered beside the relations: what is stored and read back.

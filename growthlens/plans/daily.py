@@ -87,11 +87,15 @@ def _by_month(mart: DataFrame, path: str, only_these_months: bool = False) -> No
     )
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def _stored(spark: SparkSession, root: str, name: str) -> DataFrame:
     """The stored mart with its month; the columns are known even if it has no rows and so no files."""
-    empty = staging.clean_all({raw: spark.createDataFrame([], schema) for raw, schema in FEED_SCHEMAS.items()})
-    schema = StructType(_mart(name, empty, {}).schema.fields).add("month", "date")
-    return read_table(spark, f"{root}/{name}", schema=schema)
+    if name not in _schemas:
+        empty = staging.clean_all({raw: spark.createDataFrame([], schema) for raw, schema in FEED_SCHEMAS.items()})
+        _schemas[name] = StructType(_mart(name, empty, {}).schema.fields).add("month", "date")
+    return read_table(spark, f"{root}/{name}", schema=_schemas[name])
 
 
 def _replace_days(stored: DataFrame, fresh: DataFrame, path: str, days: Sequence[dt.date | None]) -> None:
