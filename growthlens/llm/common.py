@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from growthlens.session import shared_dir
 
 SLICE_BYTES = 4 << 20
+# Rows of a stored file at least, where the number of rows is known to be small.
+FILE_ROWS = 1 << 13
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,30 +41,45 @@ def text_slices(
             yield rows, [t or "" for t in rows.column(column).to_pylist()]
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+def files_for(rows: int) -> int:
+    """Files in which up to ``rows`` narrow rows are stored."""
+    return max(1, -(-rows // FILE_ROWS))
+
+
+def cut_lineage(df: DataFrame, rows: int | None = None) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read again.
 
     Later steps neither compute it again nor lose it with an executor, and plan
     with its real size: a checkpoint keeps the estimate of its plan, which the
     joins of an iteration multiply without end.  The folders are named by run
     and stay until the shared folder is cleared.
+
+    ``rows``, if given, is the most rows ``df`` can have: its last tasks are
+    drawn together, so that a small step does not leave a tiny file for each of
+    them.  A file costs its executor several processes on a local disk (chmod
+    and its like), which hold the executor's memory until they have begun.
     """
+    if rows is not None:
+        df = df.coalesce(files_for(rows))
     path = f"{shared_dir(df.sparkSession)}/llm/step-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def connected_components(edges: DataFrame) -> DataFrame:
+def connected_components(edges: DataFrame, rows: int | None = None) -> DataFrame:
     """(node, root) for every node of ``edges`` (a, b): root is the smallest node reachable.
 
+    ``rows``, if given, is the most rows that the edges have in both directions.
+
     Each round takes the smallest root among a node's neighbours (pre-aggregated
     before the shuffle), then follows that root's own root, so stars settle in
     two rounds and chains in logarithmically many.  The rounds end when no root
-    changes; every round is stored.
+    changes; every round is stored, in files for as many rows as there are nodes.
     """
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    both = cut_lineage(both.where("a <> b").distinct())
-    roots = cut_lineage(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("root")))
+    both = cut_lineage(both.where("a <> b").distinct(), rows)
+    ends = both.count()
+    roots = cut_lineage(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("root")), ends)
     while True:
         seen = (
             both.join(roots.withColumnRenamed("node", "b"), "b")
@@ -71,7 +88,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
         )
         step = roots.join(seen, "node").select("node", "root", F.least("root", "near").alias("next"))
         above = roots.select(F.col("node").alias("next"), F.col("root").alias("above"))
-        step = cut_lineage(step.join(above, "next").select("node", F.least("next", "above").alias("new"), "root"))
+        step = cut_lineage(step.join(above, "next").select("node", F.least("next", "above").alias("new"), "root"), ends)
         changed = not step.where("new <> root").isEmpty()
         roots = step.select("node", F.col("new").alias("root"))
         if not changed:

@@ -13,7 +13,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from growthlens.llm.common import connected_components, cut_lineage, local_roots, text_slices
+from growthlens.llm.common import connected_components, cut_lineage, files_for, local_roots, text_slices
 from growthlens.llm.shingles import (
     TABLE_BITS,
     Shingles,
@@ -192,10 +192,12 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return joined.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select(*pairs.columns)
 
 
-def _cross_links(large: DataFrame, texts: DataFrame, roots: DataFrame, idf: Broadcast, threshold: float) -> DataFrame:
+def _cross_links(
+    large: DataFrame, rows: int, texts: DataFrame, roots: DataFrame, idf: Broadcast, threshold: float
+) -> DataFrame:
     """Links within large buckets between nodes that are not in one component yet.
 
-    ``large`` is (band, key, hub, node).  A bucket's members outside its hub's
+    ``large`` is (band, key, hub, node) of ``rows`` rows.  A bucket's members outside its hub's
     component are dealt against all its members in blocks, and the weighted
     Jaccard similarities of two blocks come from one product of matrices.  Pairs
     inside the hub's component need no comparison, so a group of copies around
@@ -204,7 +206,8 @@ def _cross_links(large: DataFrame, texts: DataFrame, roots: DataFrame, idf: Broa
     root = roots.select(F.col("node").alias("of"), "root")
     member = large.join(root, F.col("node") == F.col("of"), "left").withColumn("root", F.coalesce("root", "node")).drop("of")
     member = member.join(root.withColumnRenamed("root", "hub_root"), F.col("hub") == F.col("of"), "left").drop("of")
-    member = cut_lineage(member.withColumn("out", F.col("root") != F.coalesce("hub_root", "hub")).drop("hub_root", "hub"))
+    member = member.withColumn("out", F.col("root") != F.coalesce("hub_root", "hub")).drop("hub_root", "hub")
+    member = cut_lineage(member.repartition(files_for(rows)))
     sizes = member.groupBy("band", "key").agg(
         F.ceil(F.count("*") / BLOCK_ROWS).alias("blocks"), F.ceil(F.count_if("out") / BLOCK_ROWS).alias("outer")
     )
@@ -264,33 +267,37 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     nodes = cut_lineage(
         worded.groupBy("node").agg(
             F.min("doc_id").alias("first_id"), F.first("bands").alias("bands"), F.first("samples").alias("samples")
-        )
+        ),
+        signed.count(),
     )
     banded = nodes.select("node", F.posexplode("bands").alias("band", "key"))
     buckets = banded.groupBy("band", "key").agg(
         F.count("*").alias("n"), F.min(F.struct(F.xxhash64("node", "band").alias("h"), "node"))["node"].alias("hub")
     )
-    met = cut_lineage(banded.join(buckets.where("n > 1"), ["band", "key"]))
-    small = met.where(F.col("n") <= SMALL_BUCKET).groupBy("band", "key").agg(F.array_sort(F.collect_list("node")).alias("m"))
+    met = cut_lineage(banded.join(buckets.where("n > 1"), ["band", "key"]), BANDS * nodes.count())
+    few = F.col("n") <= SMALL_BUCKET
+    in_small, in_large = met.agg(F.coalesce(F.sum(F.when(few, F.col("n") - 1)), F.lit(0)), F.count_if(~few)).first()
+    small = met.where(few).groupBy("band", "key").agg(F.array_sort(F.collect_list("node")).alias("m"))
     small = small.select("m", F.posexplode("m").alias("i", "a")).select(
         "a", F.explode(F.slice("m", F.col("i") + 2, F.size("m"))).alias("b")
     )
-    large = met.where(F.col("n") > SMALL_BUCKET)
+    large = met.where(~few)
     hubs = large.select(F.col("node").alias("a"), F.col("hub").alias("b"))
-    pairs = cut_lineage(_agreeing(small.unionByName(hubs), nodes))
+    pairs = cut_lineage(_agreeing(small.unionByName(hubs), nodes).repartition(files_for(in_small // 2 + in_large)))
+    most = pairs.count()
 
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).union(large.select("node")).distinct()
     texts = cut_lineage(_texts_of(docs, nodes.join(wanted, "node")))
     ends = pairs.select("same", F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("p"))
     best = ends.groupBy("p.a").agg(F.max(F.struct("same", "p.b"))["b"].alias("b"))
     best = best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    links = cut_lineage(_verified(best, texts, idf, threshold))
-    roots = connected_components(links)
+    links = cut_lineage(_verified(best, texts, idf, threshold).repartition(files_for(most)))
+    roots = connected_components(links, 2 * most)
     rest = _apart(pairs.join(best, ["a", "b"], "left_anti").select("a", "b"), roots)
-    links = cut_lineage(links.unionByName(_verified(rest, texts, idf, threshold)))
-    roots = connected_components(links)
-    if not large.isEmpty():
-        cross = _cross_links(large.select("band", "key", "hub", "node"), texts, roots, idf, threshold)
+    links = cut_lineage(links.unionByName(_verified(rest, texts, idf, threshold)).repartition(files_for(most)))
+    roots = connected_components(links, 2 * most)
+    if in_large:
+        cross = _cross_links(large.select("band", "key", "hub", "node"), in_large, texts, roots, idf, threshold)
         links = links.unionByName(cross.where("a <> b"))
         roots = connected_components(links)
 

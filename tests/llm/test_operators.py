@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import zlib
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -13,7 +14,7 @@ from tokenizers import Tokenizer
 
 from growthlens.llm import chat, secrets
 from growthlens.llm.byte_cnn import ByteCNN
-from growthlens.llm.common import local_roots
+from growthlens.llm.common import FILE_ROWS, connected_components, files_for, local_roots
 from growthlens.llm.embedding_dedup import codes_of, near_duplicate_vectors, possible_links, rotated, sketches
 from growthlens.llm.language_id import fit_language_model, identify_languages
 from growthlens.llm.minhash import near_duplicates
@@ -23,6 +24,7 @@ from growthlens.llm.packing import WordEncoder, first_fit_decreasing, pack
 from growthlens.llm.quality import QualityModel, fit_quality_model, score_quality
 from growthlens.llm.shingles import jaccard, jaccard_matrix, numbered_shingles, weighted_shingles, word_hashes
 from growthlens.llm.token_counts import TokenCounter, count_tokens
+from growthlens.session import shared_dir
 from tests.conftest import rows
 
 DOC = "doc_id long, text string, lang string, source string, extra string"
@@ -359,6 +361,42 @@ def test_near_duplicates_groups(spark, docs, empty):
     assert near_duplicates(empty).count() == 0
 
 
+def test_near_duplicates_store_small_steps_in_few_files(spark):
+    """With 48 tasks a step, small steps are not stored as 48 files each: every file starts processes on its executor."""
+    r = random.Random(7)
+    word = lambda: f"w{r.randrange(10**6)}"
+    base = [[word() for _ in range(80)] for _ in range(40)]
+    near = [" ".join([*b[:-1], word()]) for b in base[:12]]
+    many = [" ".join([*base[0][:k], word(), *base[0][k + 1 :]]) for k in range(0, 80, 2)]
+    whole = [*[" ".join(b) for b in base], *near, *many]
+    data = spark.createDataFrame(list(enumerate(whole)), "doc_id long, text string").coalesce(2)
+    conf = {"spark.sql.shuffle.partitions": "48", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in conf}
+    steps = Path(shared_dir(spark).removeprefix("file:"), "llm")
+    before = set(steps.glob("step-*"))
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        got = {x.doc_id: x.class_id for x in near_duplicates(data).collect()}
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    files = [len(list(d.glob("*.parquet"))) for d in set(steps.glob("step-*")) - before]
+    # only texts, whose rows can be long, and the links found in blocks keep a file a task
+    assert sum(n > 3 for n in files) <= 2 and len(files) > 8
+    assert all(got[40 + i] == i for i in range(12)) and all(got[52 + i] == 0 for i in range(len(many)))
+    assert all(got[i] == i for i in range(40))
+
+
+def test_connected_components_number_of_files_follows_the_nodes(spark):
+    assert [files_for(n) for n in (0, 1, FILE_ROWS, FILE_ROWS + 1, 5 * FILE_ROWS)] == [1, 1, 1, 2, 5]
+    n = FILE_ROWS + 10  # a path of 9 links every 10 numbers; the first number is its root
+    edges = spark.range(n).where("id % 10 > 0").select((F.col("id") - 1).alias("a"), F.col("id").alias("b"))
+    roots = connected_components(edges.repartition(30))
+    assert sorted(rows(roots)) == [(i, i - i % 10) for i in range(n) if i - i % 10 + 1 < n]
+    assert connected_components(edges.limit(0)).count() == 0
+
+
 def test_classifiers_learn_and_take_odd_rows(spark, docs, empty):
     rng = random.Random(3)
     alphabet = {"xx": "abcde", "yy": "vwxyz"}
